@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from spanweave.functions.tags import no_tags
 from spanweave.functions.refs import no_refs
+from spanweave.sources.splits import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,7 +53,7 @@ def spans_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_discount") >= 0.08, F.array(_tag("peer.service", F.col("p_brand")))
     ).otherwise(no_tags())
     lines = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))

@@ -65,7 +65,8 @@ def sort_tags(tags: Column) -> Column:
 
 def tag_value(tags: Column, key: str | Column) -> Column:
     """Value of the first tag with this key.  A null first value hides later tags of the key."""
-    return F.get(F.filter(tags, lambda t: t["key"] == key), F.lit(0))["value"]
+    place = F.array_position(tags["key"], key)
+    return F.get(tags["value"], (place - 1).cast("int"))
 
 
 def is_client(tags: Column) -> Column:
@@ -77,24 +78,26 @@ def is_server(tags: Column) -> Column:
 
 
 def call_sides(tags: Column) -> Column:
-    """Which ends of a call a span claims, by tag value under any key, in tag order.
+    """Which ends of a call a span claims, by tag value under any key.
 
     '' none, 'c' calling end only, 's' called end only, 'cs' / 'sc' both, in order of appearance.
     """
-    letters = F.array_join(
-        F.transform(
-            tags,
-            lambda t: F.when(t["value"].isin(*CLIENT_VALUES), "c")
-            .when(t["value"].isin(*SERVER_VALUES), "s")
-            .otherwise(""),
-        ),
-        "",
+
+    def first_place(values: tuple[str, ...]) -> Column:
+        return F.least(*[F.nullif(F.array_position(tags["value"], v), F.lit(0)) for v in values])
+
+    calling, called = first_place(CLIENT_VALUES), first_place(SERVER_VALUES)
+    return (
+        F.when(calling < called, "cs")
+        .when(called < calling, "sc")
+        .when(calling.isNotNull(), "c")
+        .when(called.isNotNull(), "s")
+        .otherwise("")
     )
-    return F.regexp_replace(letters, r"^(.)\1*(.?).*$", "$1$2")
 
 
 def tag_text(tags: Column) -> Column:
-    """All tags as one text, for ordering spans and for showing them."""
+    """All tags as one text, for showing spans."""
     return F.array_join(
         F.transform(tags, lambda t: F.concat(t["key"], F.lit("="), F.coalesce(t["value"], F.lit("")))),
         ";",

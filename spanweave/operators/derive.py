@@ -39,116 +39,139 @@ ANSWER = "answer"  # `service` answers for the id
 SEEN = "seen"  # some span refers to the id
 LEAF = "leaf"  # an eligible span of `service` with the id names the peer `other`
 LINK = "link"  # finished link service -> other, about no id
+ORDER = "order"  # the shared link of the id depends on the order of its `other` claims
 
 # A call meets the answer, and a leaf candidate meets the sighting that rules it out.
 _WAITING = {ANSWER: "a", LEAF: "l", LINK: "x"}
 _ARRIVING = {CALL: "a", SEEN: "l"}
 
-_FACT = "struct<role:string,id:bigint,service:string,other:string>"
 
 
-def _fact(role: str, id=None, service=None, other=None) -> Column:
-    null = F.lit(None)
-    return F.struct(
-        F.lit(role).alias("role"),
-        (null if id is None else id).cast("bigint").alias("id"),
-        (null if service is None else service).cast("string").alias("service"),
-        (null if other is None else other).cast("string").alias("other"),
+def _fact(condition: Column, role: str, id=None, service=None, other=None) -> Column:
+    """A fact where the condition holds, else null."""
+    text = F.lit(None).cast("string")
+    return F.when(
+        condition,
+        F.struct(
+            F.lit(role).alias("role"),
+            (F.lit(0).cast("bigint") if id is None else id).alias("id"),
+            (text if service is None else service).alias("service"),
+            (text if other is None else other).alias("other"),
+        ),
     )
 
 
-def _when(condition: Column, facts: Column) -> Column:
-    return F.when(condition, facts).otherwise(F.array().cast(f"array<{_FACT}>"))
-
-
 def _explode_facts(df: DataFrame, facts: list[Column]) -> DataFrame:
-    # The outer form, with the filter behind it, infers no filter on its input: all readers of `df`
-    # then see the same exchange, and Spark runs it once.
+    # Outer form, nulls dropped behind it: the plain form would infer a filter on its input, and the
+    # readers of `df` would no longer share one exchange.
+    # For the same reason the keys are made plainly non-null, which they are.
+    text = F.lit("")
     return (
-        df.select("trace_id", F.explode_outer(F.concat(*facts)).alias("fact"))
-        .filter(F.col("fact.role").isNotNull())
-        .select(F.when(F.col("fact.role") != LINK, F.col("trace_id")).alias("trace_id"), "fact.*")
+        df.select("trace_id", F.explode_outer(F.array(*facts)).alias("fact"))
+        .filter(F.col("fact.id").isNotNull())
+        .select(
+            F.when(F.col("fact.role") == LINK, text)
+            .otherwise(F.coalesce("trace_id", text))
+            .alias("trace_id"),
+            F.coalesce("fact.role", text).alias("role"),
+            F.coalesce("fact.id", F.lit(0)).alias("id"),
+            "fact.service",
+            "fact.other",
+        )
     )
 
 
-def _facts(narrow: DataFrame, groups: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
-    """Facts with their multiplicity `weight`: trace_id, role, id, service, other, weight."""
+def _span_facts(narrow: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    per_ref = narrow.select(
+        "trace_id",
+        "span_id",
+        "service",
+        "peer",
+        (F.col("client") & has_callers_refs()).alias("open"),
+        F.posexplode_outer("refs").alias("at", "ref"),
+    )
+    known, first = F.col("ref").isNotNull(), F.coalesce(F.col("at"), F.lit(0)) == 0
+    open_, peer = F.col("open"), F.col("peer")
+    facts = []
+    if PARENT in kinds:
+        facts.append(_fact(open_ & known, CALL, F.col("ref"), F.col("service")))
+    if PEER in kinds:
+        facts.append(_fact(known, SEEN, F.col("ref")))
+        facts.append(
+            _fact(
+                open_ & first & peer.isNotNull(), LEAF, F.col("span_id"), F.col("service"), peer
+            )
+        )
+    return _explode_facts(per_ref, facts)
 
-    def calls(refs: Column, service: Column) -> Column:
-        return F.transform(refs, lambda r: _fact(CALL, r, service))
 
-    of_span, of_group = [], []
-    client = F.col("client") & has_callers_refs()
-    open_ = F.col("only_open")
-    alone = (F.col("n") == 1) & open_.isNotNull()
+def _group_facts(groups: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    alone = F.when(F.col("n") == 1, F.col("only_open"))
+    link = plain_shared_link()
+    per_ref = groups.select(
+        "trace_id",
+        "span_id",
+        F.col("only_service").alias("service"),
+        alone["peer"].alias("peer"),
+        parent_service().alias("answers"),
+        link["parent"].alias("calling"),
+        link["child"].alias("called"),
+        F.when(needs_ordering(), F.col("n_calling") + F.col("n_called") - F.col("n_both"))
+        .cast("string")
+        .alias("claims"),
+        F.posexplode_outer(alone["refs"]).alias("at", "ref"),
+    )
+    known, first = F.col("ref").isNotNull(), F.coalesce(F.col("at"), F.lit(0)) == 0
+    answers, peer, calling = F.col("answers"), F.col("peer"), F.col("calling")
+    facts = []
     if SHARED in kinds:
-        link = plain_shared_link()
-        of_group.append(
-            _when(
-                link.isNotNull(),
-                F.array(_fact(LINK, service=link["parent"], other=link["child"])),
-            )
+        facts.append(_fact(first & calling.isNotNull(), LINK, None, calling, F.col("called")))
+        facts.append(
+            _fact(first & F.col("claims").isNotNull(), ORDER, F.col("span_id"), None, F.col("claims"))
         )
     if PARENT in kinds:
-        known = F.filter(F.col("refs"), lambda r: r.isNotNull())
-        of_span.append(_when(client, calls(known, F.col("service"))))
-        known = F.filter(open_["refs"], lambda r: r.isNotNull())
-        of_group.append(_when(alone, calls(known, F.col("only_service"))))
-        of_group.append(
-            _when(
-                parent_service().isNotNull(),
-                F.array(_fact(ANSWER, F.col("span_id"), parent_service())),
-            )
-        )
+        facts.append(_fact(known, CALL, F.col("ref"), F.col("service")))
+        facts.append(_fact(first & answers.isNotNull(), ANSWER, F.col("span_id"), answers))
     if PEER in kinds:
-        known = F.filter(F.col("refs"), lambda r: r.isNotNull())
-        of_span.append(F.transform(known, lambda r: _fact(SEEN, r)))
-        of_span.append(
-            _when(
-                client & F.col("peer").isNotNull(),
-                F.array(_fact(LEAF, F.col("span_id"), F.col("service"), F.col("peer"))),
-            )
-        )
-        of_group.append(
-            _when(
-                alone & open_["peer"].isNotNull(),
-                F.array(_fact(LEAF, F.col("span_id"), F.col("only_service"), open_["peer"])),
-            )
+        facts.append(
+            _fact(first & peer.isNotNull(), LEAF, F.col("span_id"), F.col("service"), peer)
         )
-    facts = _explode_facts(groups, of_group)
-    if of_span:
-        facts = _explode_facts(narrow, of_span).unionAll(facts)
+    return _explode_facts(per_ref, facts)
+
+
+def _facts(narrow: DataFrame, groups: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Facts with their multiplicity `weight`: trace_id, role, id, service, other, weight."""
+    facts = _group_facts(groups, kinds)
+    if PARENT in kinds or PEER in kinds:
+        facts = _span_facts(narrow, kinds).unionAll(facts)
     return facts.groupBy("trace_id", "role", "id", "service", "other").agg(
         F.count("*").alias("weight")
     )
 
 
-def _with_roles(facts: DataFrame, roles: dict[str, str]) -> DataFrame:
-    """Facts of these roles and the channel each is matched on.
-
-    The condition reads the weight too, so it stays above the exchange of the facts and both sides
-    of the match reuse it.
-    """
-    wanted = F.col("role").isin(*roles).cast("bigint") * F.col("weight") > 0
-    channel = F.create_map(*[F.lit(x) for pair in roles.items() for x in pair])[F.col("role")]
-    return facts.filter(wanted).withColumn("channel", channel)
+def _with_roles(facts: DataFrame, *roles: str) -> DataFrame:
+    # The condition reads the weight too, so it stays above the exchange of the facts and both sides
+    # of the match reuse it.
+    return facts.filter(F.col("role").isin(*roles).cast("bigint") * F.col("weight") > 0)
 
 
 def _matched_links(facts: DataFrame) -> DataFrame:
-    waiting = _with_roles(facts, _WAITING)
-    arriving = _with_roles(facts, _ARRIVING).select(
+    """A call meets the service that answers, a leaf candidate the sighting that rules it out."""
+    role = F.col("role")
+    waiting = _with_roles(facts, ANSWER, LEAF, LINK).withColumn("meets_call", role == ANSWER)
+    arriving = _with_roles(facts, CALL, SEEN).select(
         "trace_id",
         "id",
-        "channel",
+        (role == CALL).alias("meets_call"),
         F.col("service").alias("caller"),
         F.col("weight").alias("calls"),
     )
-    pairs = waiting.join(arriving, ["trace_id", "id", "channel"], "left")
-    role, met = F.col("role"), F.col("calls").isNotNull()
+    pairs = waiting.join(arriving, ["trace_id", "id", "meets_call"], "left")
+    met = F.col("calls").isNotNull()
     kind = (
-        F.when((role == ANSWER) & met, PARENT)
+        F.when(role == LINK, SHARED)
+        .when((role == ANSWER) & met, PARENT)
         .when((role == LEAF) & ~met, PEER)
-        .when(role == LINK, SHARED)
     )
     is_call = role == ANSWER
     return pairs.select(
@@ -160,13 +183,15 @@ def _matched_links(facts: DataFrame) -> DataFrame:
 
 
 def _claims(narrow: DataFrame) -> DataFrame:
-    claim = F.struct("span_id", "start_time", "service", "sides", "tag_digest")
+    claim = F.struct("start_time", "service", "sides", "digest")
     return (
         narrow.select(
-            "trace_id", F.explode_outer(F.when(F.col("sides") != "", F.array(claim))).alias("claim")
+            "trace_id",
+            "span_id",
+            F.explode_outer(F.when(F.col("sides") != "", F.array(claim))).alias("claim"),
         )
         .filter(F.col("claim.sides").isNotNull())
-        .select("trace_id", "claim.*")
+        .select("trace_id", "span_id", "claim.*")
     )
 
 
@@ -174,13 +199,14 @@ def links_of(
     narrow: DataFrame, kinds: tuple[str, ...] = KINDS, list_limit: int = LIST_LIMIT
 ) -> DataFrame:
     """Links of narrowed spans: kind, parent, child and how often (`weight`)."""
-    groups = id_groups(narrow)
-    links = _matched_links(_facts(narrow, groups, kinds))
+    facts = _facts(narrow, id_groups(narrow), kinds)
+    links = _matched_links(facts)
     if SHARED in kinds:
-        ordered = groups.filter(needs_ordering()).select(
-            "trace_id",
-            "span_id",
-            (F.col("n_calling") + F.col("n_called") - F.col("n_both")).alias("ordered"),
+        # An id states this once, so its weight is 1; it is there to keep filters on the count above
+        # the exchange of the facts.
+        claims = F.coalesce(F.col("other").try_cast("bigint"), F.lit(0)) * F.col("weight")
+        ordered = _with_roles(facts, ORDER).select(
+            "trace_id", F.col("id").alias("span_id"), claims.alias("ordered")
         )
         rest = ordered_shared_links(_claims(narrow), ordered, list_limit)
         links = links.unionAll(rest.select(F.lit(SHARED).alias("kind"), "parent", "child", "weight"))

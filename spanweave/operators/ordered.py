@@ -1,13 +1,13 @@
 """First call of a shared span id, where the order of its spans decides.
 
-The rule is a scan: walk the spans of the id in order, let every claim overwrite the last one of
+The rule is a scan: walk the spans of the id in order (start time, service, digest of the span), let every claim overwrite the last one of
 its end (also with an unknown service), and stop as soon as both ends are known.  A scan splits
 into pieces: a piece is summed up by what it does when nothing, a calling service or a called
 service is already known, and neighbouring pieces combine to one of the same form.  So an id with
 any number of spans is folded piecewise by time, never as one list.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ID = ["trace_id", "span_id"]
@@ -15,95 +15,75 @@ ID = ["trace_id", "span_id"]
 # Ids with more ordered spans than this are folded piecewise.
 LIST_LIMIT = 1000
 
-# Start times per piece, as powers of two: 4 ms, 17 s, 19 h, 9 years, then all.  Each level joins
-# at most 4096 pieces of the level below (65536 at the last).
-PIECE_BITS = (12, 24, 36, 48)
+# Microseconds per piece, as powers of two: 65 ms, 71 minutes, 9 years, then all.  A level joins at
+# most 65536 pieces of the level below; the lowest at most 65536 instants of each service.
+PIECE_BITS = (16, 32, 48)
 
 # Tasks among which the claims of one id are spread while they are matched to their id.
 SHARDS = 16
 
+# Summary of a piece of the scan:
+#   parent, child    link found when nothing was known before the piece
+#   calling, called  service known after it in that case, if no link was found (at most one)
+#   meets_calling    called service that a calling service known before the piece links to
+#   meets_called     the same for the other end
+#   keeps_calling    a calling service known before the piece is still known after it, untouched
+#   keeps_called     the same for the other end
+# Where neither `meets` nor `keeps` holds, what was known before has been overwritten and the piece
+# goes on as if nothing had been known.
 _PIECE = (
     "struct<parent:string,child:string,calling:string,called:string,"
     "meets_calling:string,meets_called:string,keeps_calling:boolean,keeps_called:boolean>"
 )
 
-
-def _piece(parent, child, calling, called, meets_calling, meets_called, keeps_calling, keeps_called):
-    """Summary of a piece of the scan.
-
-    parent, child   link found when nothing was known before the piece
-    calling, called service known after it in that case, if no link was found (at most one)
-    meets_calling   called service that a calling service known before the piece links to
-    meets_called    the same for the other end
-    keeps_calling   a calling service known before the piece is still known after it, untouched
-    keeps_called    the same for the other end
-    Where neither `meets` nor `keeps` holds, what was known before has been overwritten and the
-    piece goes on as if nothing had been known.
-    """
-    return F.struct(
-        parent.alias("parent"),
-        child.alias("child"),
-        calling.alias("calling"),
-        called.alias("called"),
-        meets_calling.alias("meets_calling"),
-        meets_called.alias("meets_called"),
-        keeps_calling.alias("keeps_calling"),
-        keeps_called.alias("keeps_called"),
-    ).cast(_PIECE)
-
-
-def _nothing() -> Column:
-    null, yes = F.lit(None).cast("string"), F.lit(True)
-    return _piece(null, null, null, null, null, null, yes, yes)
-
-
-def _join_pieces(a: Column, b: Column) -> Column:
-    """Summary of piece `a` followed by piece `b`."""
-    a_calling, a_called = a["calling"].isNotNull(), a["called"].isNotNull()
-    linked = a["parent"].isNotNull()
-    calling_meets = ~linked & a_calling & b["meets_calling"].isNotNull()
-    called_meets = ~linked & a_called & b["meets_called"].isNotNull()
-    calling_stays = a_calling & ~calling_meets & b["keeps_calling"]
-    called_stays = a_called & ~called_meets & b["keeps_called"]
-
-    def outcome(found: Column, met_first: Column, met_second: Column, else_b: Column) -> Column:
-        return (
-            F.when(linked, found)
-            .when(calling_meets, met_first)
-            .when(called_meets, met_second)
-            .when(~calling_stays & ~called_stays, else_b)
-        )
-
-    null = F.lit(None).cast("string")
-    return _piece(
-        outcome(a["parent"], a["calling"], b["meets_called"], b["parent"]),
-        outcome(a["child"], b["meets_calling"], a["called"], b["child"]),
-        F.when(calling_stays, a["calling"]).otherwise(outcome(null, null, null, b["calling"])),
-        F.when(called_stays, a["called"]).otherwise(outcome(null, null, null, b["called"])),
-        F.coalesce(a["meets_calling"], F.when(a["keeps_calling"], b["meets_calling"])),
-        F.coalesce(a["meets_called"], F.when(a["keeps_called"], b["meets_called"])),
-        a["keeps_calling"] & b["keeps_calling"],
-        a["keeps_called"] & b["keeps_called"],
-    )
-
-
-def _fold(pieces: Column) -> Column:
-    """Combine an array of (place..., piece) structs in the order of their places."""
-    return F.aggregate(F.array_sort(pieces), _nothing(), lambda a, p: _join_pieces(a, p["piece"]))
+_NOTHING = f"cast(struct(null, null, null, null, null, null, true, true) as {_PIECE})"
+
+# How the summary `a` goes on into the piece `b` when `a` found no link.
+_MEETS_CALLING = "b.meets_calling is not null and a.calling is not null"
+_MEETS_CALLED = "b.meets_called is not null and a.called is not null"
+_KEEPS_CALLING = "b.keeps_calling and a.calling is not null"
+_KEEPS_CALLED = "b.keeps_called and a.called is not null"
+
+
+def _outcome(linked: str, met_calling: str, met_called: str, kept_calling: str, kept_called: str, fresh: str):
+    return f"""case
+        when a.parent is not null then {linked}
+        when {_MEETS_CALLING} then {met_calling}
+        when {_MEETS_CALLED} then {met_called}
+        when {_KEEPS_CALLING} then {kept_calling}
+        when {_KEEPS_CALLED} then {kept_called}
+        else {fresh} end"""
+
+
+# Summary of `a` followed by `b`.
+_JOINED = f"""cast(struct(
+    {_outcome("a.parent", "a.calling", "b.meets_called", "null", "null", "b.parent")},
+    {_outcome("a.child", "b.meets_calling", "a.called", "null", "null", "b.child")},
+    {_outcome("null", "null", "null", "a.calling", "null", "b.calling")},
+    {_outcome("null", "null", "null", "null", "a.called", "b.called")},
+    coalesce(a.meets_calling, case when a.keeps_calling then b.meets_calling end),
+    coalesce(a.meets_called, case when a.keeps_called then b.meets_called end),
+    a.keeps_calling and b.keeps_calling,
+    a.keeps_called and b.keeps_called) as {_PIECE})"""
+
+# Combine an array of (place..., piece) structs in the order of their places.
+_FOLD = (
+    f"aggregate(transform(array_sort(pieces), p -> p.piece), {_NOTHING}, (a, b) -> {_JOINED}) as piece"
+)
 
 
 def _instants(claims: DataFrame) -> DataFrame:
     """Claims of one service at one start time, as one piece.
 
     All of them carry the same service, so all that matters is which end is claimed and which first:
-    by tag digest, then by the order within the span.
+    by span digest, then by the order within the span.
     """
     service = F.col("service")
     first = {
         end: F.min(
             F.when(
                 F.col("sides").contains(end),
-                F.struct("tag_digest", (F.col("sides").startswith(end)).cast("int") * -1),
+                F.struct("digest", (F.col("sides").startswith(end)).cast("int") * -1),
             )
         )
         for end in "cs"
@@ -121,7 +101,7 @@ def _instants(claims: DataFrame) -> DataFrame:
             "ordered",
             "start_time",
             "service",
-            _piece(
+            F.struct(
                 F.when(calling & called, service),
                 F.when(calling & called, service),
                 F.when(calling & ~called, service),
@@ -130,7 +110,9 @@ def _instants(claims: DataFrame) -> DataFrame:
                 F.when(calling_first, service),
                 ~known & ~calling,
                 ~known & ~called,
-            ).alias("piece"),
+            )
+            .cast(_PIECE)
+            .alias("piece"),
         )
     )
 
@@ -140,12 +122,12 @@ def ordered_shared_links(
 ) -> DataFrame:
     """Shared links (parent, child, weight) of the ids in `ordered`.
 
-    claims   trace_id, span_id, start_time, service, sides, tag_digest; of any id
+    claims   trace_id, span_id, start_time, service, sides, digest; of any id
     ordered  trace_id, span_id and the number of claims of the id
     """
     wanted = ordered.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(SHARDS - 1))))
     spread = claims.withColumn(
-        "shard", F.pmod(F.xxhash64("start_time", "service", "tag_digest"), F.lit(SHARDS)).cast("int")
+        "shard", F.pmod(F.xxhash64("start_time", "service", "digest"), F.lit(SHARDS)).cast("int")
     )
     instants = _instants(spread.join(wanted, [*ID, "shard"]))
 
@@ -153,7 +135,7 @@ def ordered_shared_links(
         instants.filter(F.col("ordered") <= list_limit)
         .groupBy(*ID)
         .agg(F.collect_list(F.struct("start_time", "service", "piece")).alias("pieces"))
-        .select(_fold(F.col("pieces")).alias("piece"))
+        .selectExpr(_FOLD)
     )
 
     level = (
@@ -164,16 +146,16 @@ def ordered_shared_links(
     )
     for lower, upper in zip(PIECE_BITS, PIECE_BITS[1:]):
         level = (
-            level.select(*ID, "place", _fold(F.col("pieces")).alias("piece"))
+            level.selectExpr(*ID, "place", _FOLD)
             .withColumn("upper", F.shiftright("place", upper - lower))
             .groupBy(*ID, F.col("upper").alias("place"))
             .agg(F.collect_list(F.struct(F.col("place").alias("at"), "piece")).alias("pieces"))
         )
     long = (
-        level.select(*ID, "place", _fold(F.col("pieces")).alias("piece"))
+        level.selectExpr(*ID, "place", _FOLD)
         .groupBy(*ID)
         .agg(F.collect_list(F.struct("place", "piece")).alias("pieces"))
-        .select(_fold(F.col("pieces")).alias("piece"))
+        .selectExpr(_FOLD)
     )
 
     return (

@@ -10,7 +10,6 @@ from spanweave.functions.tags import (
     is_client,
     is_server,
     no_tags,
-    tag_text,
     tag_value,
 )
 from spanweave.schema import SPAN_KEY
@@ -39,45 +38,40 @@ def narrow_spans(spans: DataFrame, peer_tag: str = PEER_KEY) -> DataFrame:
     Grouping on the digest and on columns that follow from it removes duplicates on the map side
     first and spreads any number of spans of one trace or id over all tasks.
 
-    Columns: trace_id, span_id, start_time, service, refs, client, server, sides, peer, tag_digest.
+    Trace and span ids are required; the readers see to that.
+
+    Columns: trace_id, span_id, start_time, service, refs, digest, client, server, sides, peer.
     """
-    tags = F.coalesce(F.col("tags"), no_tags())
-    refs = F.coalesce(F.col("refs"), no_refs())
-    whole = F.to_json(F.struct("start_time", "service", tags.alias("tags"), refs.alias("refs")))
     legacy = ["parent_id"] if "parent_id" in spans.columns else []
-    sides = spans.select(
+    filled = spans.filter(F.col("trace_id").isNotNull() & F.col("span_id").isNotNull()).select(
         "trace_id",
         "span_id",
         "start_time",
         "service",
-        refs.alias("refs"),
-        tags.alias("tags"),
-        F.unhex(F.sha2(whole, 256)).alias("digest"),
-        call_sides(tags).alias("sides"),
+        F.coalesce("refs", no_refs()).alias("refs"),
+        F.coalesce("tags", no_tags()).alias("tags"),
         *legacy,
     )
-    narrow = sides.select(
+    tags = F.col("tags")
+    narrow = filled.select(
         "trace_id",
         "span_id",
         "start_time",
         "service",
         "refs",
-        "digest",
-        "sides",
-        is_client(F.col("tags")).alias("client"),
-        is_server(F.col("tags")).alias("server"),
-        tag_value(F.col("tags"), peer_tag).alias("peer"),
-        # Orders spans that start together in one service; others never look at their tags.
-        F.when(F.col("sides") != "", F.unhex(F.sha2(tag_text(F.col("tags")), 256))).alias(
-            "tag_digest"
+        F.unhex(F.sha2(F.to_json(F.struct("start_time", "service", "tags", "refs")), 256)).alias(
+            "digest"
         ),
+        is_client(tags).alias("client"),
+        is_server(tags).alias("server"),
+        call_sides(tags).alias("sides"),
+        tag_value(tags, peer_tag).alias("peer"),
         *legacy,
     )
-    keys = [c for c in narrow.columns if c not in legacy]
     if legacy:
-        distinct = narrow.groupBy(*keys).agg(F.min("parent_id").alias("parent_id"))
-        return with_legacy_parent(distinct).drop("digest")
-    return narrow.distinct().drop("digest")
+        keys = [c for c in narrow.columns if c not in legacy]
+        return with_legacy_parent(narrow.groupBy(*keys).agg(F.min("parent_id").alias("parent_id")))
+    return narrow.distinct()
 
 
 def trace_groups(spans: DataFrame) -> DataFrame:

@@ -1,0 +1,13 @@
+"""Input parallelism."""
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than there are task slots over all of them.
+
+    Decoding happens in the scan stage; a day stored in a few row groups would leave most slots
+    idle.  A scan with enough splits is returned as it is and moves nothing.
+    """
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(slots) if scan.rdd.getNumPartitions() < slots else scan
