@@ -1,5 +1,6 @@
 """Service dependency analytics over distributed-tracing spans, on Spark DataFrames."""
 
 from spanweave.operators.derive import all_links, derive
+from spanweave.plans.day import DayJob, ScanOptions, run_day
 
-__all__ = ["all_links", "derive"]
+__all__ = ["DayJob", "ScanOptions", "all_links", "derive", "run_day"]
