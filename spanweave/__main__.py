@@ -34,7 +34,12 @@ def parse_args(argv: list[str] | None = None) -> DayJob:
     if args.source is None:
         parser.error("--source is required")
     names = NameRule(
-        args.span_base, args.dependency_base, args.prefix, args.separator, args.aliases, args.type_suffix
+        span_base=args.span_base,
+        dependency_base=args.dependency_base,
+        prefix=args.prefix,
+        separator=args.separator,
+        aliases=args.aliases,
+        type_suffix=args.type_suffix,
     )
     scan = ScanOptions(
         names=names,

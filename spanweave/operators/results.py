@@ -32,22 +32,20 @@ def tree_edges(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _explode_links(links: DataFrame, column: str) -> DataFrame:
-    return links.select(F.explode(column).alias("link")).select(
-        "link.parent", "link.child", F.col("link.callCount").alias("call_count")
-    )
-
-
 def read_result(answers: DataFrame, column: str = "value") -> DataFrame:
     """Edges of query-service answers held as JSON text."""
     parsed = answers.select(F.from_json(column, RESULT_SCHEMA).alias("answer"))
-    return _explode_links(parsed.select("answer.data"), "data")
+    return parsed.select(F.explode("answer.data").alias("link")).select(
+        "link.parent", "link.child", F.col("link.callCount").alias("call_count")
+    )
 
 
 def read_documents(documents: DataFrame, column: str = "value") -> DataFrame:
-    """Edges of stored day documents held as JSON text."""
+    """Edges of stored day documents held as JSON text, with the day's timestamp."""
     parsed = documents.select(F.from_json(column, DAY_DOCUMENT_SCHEMA).alias("doc"))
-    return _explode_links(parsed.select("doc.dependencies"), "dependencies")
+    return parsed.select("doc.timestamp", F.explode("doc.dependencies").alias("link")).select(
+        "timestamp", "link.parent", "link.child", F.col("link.callCount").alias("call_count")
+    )
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:

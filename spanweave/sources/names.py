@@ -11,20 +11,21 @@ from pyspark.sql import functions as F
 class NameRule:
     """How partitions of a store are named.
 
-    The base names are those of the store in use.  With a prefix there are two candidates: the
-    current form `prefix-name` and the legacy form `prefix:name`.  With aliases the names carry no
-    date: one alias is read from and one is written to.
+    The base names are those of the store in use.  With a prefix there are two candidates, the
+    current form `prefix-name` before the legacy form `prefix:name`; without one there is one.  With
+    aliases the names carry no date: one alias is read from and one is written to.
     """
 
     span_base: str = "span"
     dependency_base: str = "dependencies"
     prefix: str = ""
+    prefix_marks: tuple[str, ...] = ("-", ":")  # current and legacy; file systems may refuse ":"
     separator: str = "-"
     aliases: bool = False
     type_suffix: bool = False  # old stores keep documents under a type of the partition
 
     def _prefixes(self) -> list[str]:
-        return [f"{self.prefix}-", f"{self.prefix}:"] if self.prefix else [""]
+        return [self.prefix + mark for mark in self.prefix_marks] if self.prefix else [""]
 
     def candidates(self, day: dt.date) -> list[tuple[str, str]]:
         """(read, write) names in the order in which they are tried."""
