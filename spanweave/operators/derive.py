@@ -14,16 +14,16 @@ are counted per service before they are matched, so an id referred to by a large
 meets its parent as one row per calling service.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.functions.tags import PEER_KEY
 from spanweave.operators.groups import (
-    has_callers_refs,
+    ANSWERS,
+    MAY_BE_CALLED,
+    NEEDS_ORDERING,
+    PLAIN_LINK,
     id_groups,
-    needs_ordering,
-    parent_service,
-    plain_shared_link,
 )
 from spanweave.operators.ordered import LIST_LIMIT, ordered_shared_links
 from spanweave.operators.spans import narrow_spans
@@ -47,95 +47,79 @@ _ARRIVING = {CALL: "a", SEEN: "l"}
 
 
 
-def _fact(condition: Column, role: str, id=None, service=None, other=None) -> Column:
+def _fact(condition: str, role: str, about: str = "0L", service: str = "null", other: str = "null") -> str:
     """A fact where the condition holds, else null."""
-    text = F.lit(None).cast("string")
-    return F.when(
-        condition,
-        F.struct(
-            F.lit(role).alias("role"),
-            (F.lit(0).cast("bigint") if id is None else id).alias("id"),
-            (text if service is None else service).alias("service"),
-            (text if other is None else other).alias("other"),
-        ),
+    return (
+        f"case when {condition} then struct('{role}' as role, {about} as id,"
+        f" cast({service} as string) as service, cast({other} as string) as other) end"
     )
 
 
-def _explode_facts(df: DataFrame, facts: list[Column]) -> DataFrame:
+def _explode_facts(df: DataFrame, facts: list[str]) -> DataFrame:
     # Outer form, nulls dropped behind it: the plain form would infer a filter on its input, and the
-    # readers of `df` would no longer share one exchange.
-    # For the same reason the keys are made plainly non-null, which they are.
-    text = F.lit("")
+    # readers of `df` would no longer share one exchange.  For the same reason the keys are made
+    # plainly non-null, which they are.
     return (
-        df.select("trace_id", F.explode_outer(F.array(*facts)).alias("fact"))
-        .filter(F.col("fact.id").isNotNull())
-        .select(
-            F.when(F.col("fact.role") == LINK, text)
-            .otherwise(F.coalesce("trace_id", text))
-            .alias("trace_id"),
-            F.coalesce("fact.role", text).alias("role"),
-            F.coalesce("fact.id", F.lit(0)).alias("id"),
+        df.selectExpr("trace_id", f"explode_outer(array({', '.join(facts)})) as fact")
+        .filter("fact.id is not null")
+        .selectExpr(
+            f"if(fact.role = '{LINK}', '', coalesce(trace_id, '')) as trace_id",
+            "coalesce(fact.role, '') as role",
+            "coalesce(fact.id, 0L) as id",
             "fact.service",
             "fact.other",
         )
     )
 
 
+# Facts about a span or group itself are stated with its first reference, or without any.
+_FIRST = "coalesce(at, 0) = 0"
+
+
 def _span_facts(narrow: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
-    per_ref = narrow.select(
+    per_ref = narrow.selectExpr(
         "trace_id",
         "span_id",
         "service",
         "peer",
-        (F.col("client") & has_callers_refs()).alias("open"),
-        F.posexplode_outer("refs").alias("at", "ref"),
+        f"client and {MAY_BE_CALLED} as open",
+        "posexplode_outer(refs) as (at, ref)",
     )
-    known, first = F.col("ref").isNotNull(), F.coalesce(F.col("at"), F.lit(0)) == 0
-    open_, peer = F.col("open"), F.col("peer")
     facts = []
     if PARENT in kinds:
-        facts.append(_fact(open_ & known, CALL, F.col("ref"), F.col("service")))
+        facts.append(_fact("open and ref is not null", CALL, "ref", "service"))
     if PEER in kinds:
-        facts.append(_fact(known, SEEN, F.col("ref")))
+        facts.append(_fact("ref is not null", SEEN, "ref"))
         facts.append(
-            _fact(
-                open_ & first & peer.isNotNull(), LEAF, F.col("span_id"), F.col("service"), peer
-            )
+            _fact(f"open and peer is not null and {_FIRST}", LEAF, "span_id", "service", "peer")
         )
     return _explode_facts(per_ref, facts)
 
 
 def _group_facts(groups: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
-    alone = F.when(F.col("n") == 1, F.col("only_open"))
-    link = plain_shared_link()
-    per_ref = groups.select(
+    per_ref = groups.selectExpr(
         "trace_id",
         "span_id",
-        F.col("only_service").alias("service"),
-        alone["peer"].alias("peer"),
-        parent_service().alias("answers"),
-        link["parent"].alias("calling"),
-        link["child"].alias("called"),
-        F.when(needs_ordering(), F.col("n_calling") + F.col("n_called") - F.col("n_both"))
-        .cast("string")
-        .alias("claims"),
-        F.posexplode_outer(alone["refs"]).alias("at", "ref"),
+        "only_service as service",
+        "if(n = 1, only_open.peer, null) as peer",
+        f"{ANSWERS} as answers",
+        f"{PLAIN_LINK} as linked",
+        "calling_service",
+        "called_service",
+        f"if({NEEDS_ORDERING}, n_calling + n_called - n_both, null) as claims",
+        "posexplode_outer(if(n = 1, only_open.refs, null)) as (at, ref)",
     )
-    known, first = F.col("ref").isNotNull(), F.coalesce(F.col("at"), F.lit(0)) == 0
-    answers, peer, calling = F.col("answers"), F.col("peer"), F.col("calling")
     facts = []
     if SHARED in kinds:
-        facts.append(_fact(first & calling.isNotNull(), LINK, None, calling, F.col("called")))
         facts.append(
-            _fact(first & F.col("claims").isNotNull(), ORDER, F.col("span_id"), None, F.col("claims"))
+            _fact(f"linked and {_FIRST}", LINK, service="calling_service", other="called_service")
         )
+        facts.append(_fact(f"claims is not null and {_FIRST}", ORDER, "span_id", other="claims"))
     if PARENT in kinds:
-        facts.append(_fact(known, CALL, F.col("ref"), F.col("service")))
-        facts.append(_fact(first & answers.isNotNull(), ANSWER, F.col("span_id"), answers))
+        facts.append(_fact("ref is not null", CALL, "ref", "service"))
+        facts.append(_fact(f"answers is not null and {_FIRST}", ANSWER, "span_id", "answers"))
     if PEER in kinds:
-        facts.append(
-            _fact(first & peer.isNotNull(), LEAF, F.col("span_id"), F.col("service"), peer)
-        )
+        facts.append(_fact(f"peer is not null and {_FIRST}", LEAF, "span_id", "service", "peer"))
     return _explode_facts(per_ref, facts)
 
 
@@ -150,47 +134,37 @@ def _facts(narrow: DataFrame, groups: DataFrame, kinds: tuple[str, ...]) -> Data
 
 
 def _with_roles(facts: DataFrame, *roles: str) -> DataFrame:
-    # The condition reads the weight too, so it stays above the exchange of the facts and both sides
-    # of the match reuse it.
-    return facts.filter(F.col("role").isin(*roles).cast("bigint") * F.col("weight") > 0)
+    # The condition reads the weight too, so it stays above the exchange of the facts and all readers
+    # of the facts reuse it.
+    listed = ", ".join(f"'{role}'" for role in roles)
+    return facts.filter(f"cast(role in ({listed}) as bigint) * weight > 0")
 
 
 def _matched_links(facts: DataFrame) -> DataFrame:
     """A call meets the service that answers, a leaf candidate the sighting that rules it out."""
-    role = F.col("role")
-    waiting = _with_roles(facts, ANSWER, LEAF, LINK).withColumn("meets_call", role == ANSWER)
-    arriving = _with_roles(facts, CALL, SEEN).select(
-        "trace_id",
-        "id",
-        (role == CALL).alias("meets_call"),
-        F.col("service").alias("caller"),
-        F.col("weight").alias("calls"),
+    waiting = _with_roles(facts, ANSWER, LEAF, LINK).selectExpr("*", f"role = '{ANSWER}' as by_call")
+    arriving = _with_roles(facts, CALL, SEEN).selectExpr(
+        "trace_id", "id", f"role = '{CALL}' as by_call", "service as caller", "weight as calls"
     )
-    pairs = waiting.join(arriving, ["trace_id", "id", "meets_call"], "left")
-    met = F.col("calls").isNotNull()
-    kind = (
-        F.when(role == LINK, SHARED)
-        .when((role == ANSWER) & met, PARENT)
-        .when((role == LEAF) & ~met, PEER)
+    return (
+        waiting.join(arriving, ["trace_id", "id", "by_call"], "left")
+        .selectExpr(
+            f"""case when role = '{LINK}' then '{SHARED}'
+                     when role = '{ANSWER}' and calls is not null then '{PARENT}'
+                     when role = '{LEAF}' and calls is null then '{PEER}' end as kind""",
+            "service as parent",
+            "if(by_call, caller, other) as child",
+            "if(by_call, calls, weight) as weight",
+        )
+        .filter("kind is not null")
     )
-    is_call = role == ANSWER
-    return pairs.select(
-        kind.alias("kind"),
-        F.col("service").alias("parent"),
-        F.when(is_call, F.col("caller")).otherwise(F.col("other")).alias("child"),
-        F.when(is_call, F.col("calls")).otherwise(F.col("weight")).alias("weight"),
-    ).filter(F.col("kind").isNotNull())
 
 
 def _claims(narrow: DataFrame) -> DataFrame:
-    claim = F.struct("start_time", "service", "sides", "digest")
+    claim = "case when sides <> '' then array(struct(start_time, service, sides, digest)) end"
     return (
-        narrow.select(
-            "trace_id",
-            "span_id",
-            F.explode_outer(F.when(F.col("sides") != "", F.array(claim))).alias("claim"),
-        )
-        .filter(F.col("claim.sides").isNotNull())
+        narrow.selectExpr("trace_id", "span_id", f"explode_outer({claim}) as claim")
+        .filter("claim.sides is not null")
         .select("trace_id", "span_id", "claim.*")
     )
 
@@ -204,9 +178,10 @@ def links_of(
     if SHARED in kinds:
         # An id states this once, so its weight is 1; it is there to keep filters on the count above
         # the exchange of the facts.
-        claims = F.coalesce(F.col("other").try_cast("bigint"), F.lit(0)) * F.col("weight")
-        ordered = _with_roles(facts, ORDER).select(
-            "trace_id", F.col("id").alias("span_id"), claims.alias("ordered")
+        ordered = _with_roles(facts, ORDER).selectExpr(
+            "trace_id",
+            "id as span_id",
+            "coalesce(try_cast(other as bigint), 0L) * weight as ordered",
         )
         rest = ordered_shared_links(_claims(narrow), ordered, list_limit)
         links = links.unionAll(rest.select(F.lit(SHARED).alias("kind"), "parent", "child", "weight"))

@@ -4,77 +4,57 @@ Everything here is an aggregate over (trace_id, span_id) that combines on the ma
 used by a large part of all spans is as cheap as any other.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def has_callers_refs() -> Column:
-    """A span can have an incoming call only with references and a known service."""
-    return (F.size("refs") > 0) & F.col("service").isNotNull()
+# A span can have an incoming call only with references and a known service.
+MAY_BE_CALLED = "(size(refs) > 0 and service is not null)"
+
+# Service that answers for a span id when another span refers to it.
+ANSWERS = "case when n = 1 then only_service else first_server end"
+
+_ONE_EACH = "(n_calling = 1 and n_called = 1)"
+
+# Groups whose shared link depends on the order of their spans: both ends are claimed, and not just
+# by one calling and one called span or by one span alone.
+NEEDS_ORDERING = f"(n_calling > 0 and n_called > 0 and not ({_ONE_EACH} and n_both <= 1))"
+
+# The other groups with both ends have a link if both services are known.
+PLAIN_LINK = f"({_ONE_EACH} and calling_service is not null and called_service is not null)"
+
+_GROUP = [
+    "count(*) as n",
+    "count_if(contains(sides, 'c')) as n_calling",
+    "count_if(contains(sides, 's')) as n_called",
+    "count_if(length(sides) = 2) as n_both",
+    "min(case when contains(sides, 'c') then service end) as calling_service",
+    "min(case when contains(sides, 's') then service end) as called_service",
+    "first(service) as only_service",
+    f"first(case when not client and {MAY_BE_CALLED} then struct(refs, peer) end, true) as only_open",
+    "min(case when server then struct(start_time, service) end).service as first_server",
+]
 
 
 def id_groups(narrow: DataFrame) -> DataFrame:
     """One row per (trace_id, span_id) with what the link rules ask of the group.
 
     n                   distinct spans
-    n_called            spans claiming the called end of a call; n_calling the calling end;
-    n_both              spans claiming both
-    calling_service     smallest service on either end; exact where one span claims that end
+    n_calling, n_called spans claiming the calling, the called end of a call; n_both both ends
+    calling_service,    smallest service on either end; exact where one span claims that end
     called_service
     only_service        service of the span, meaningful for n = 1
-    only_open           references and peer of the span if it may have callers and is not a client
-                        (client spans are eligible in any group and need no group to tell)
+    only_open           references and peer of the span if it may have callers and is not a client,
+                        for n = 1 (client spans are eligible in any group)
     first_server        service of the first server span by start time, then service, nulls first
     """
-    calling = F.col("sides").contains("c")
-    called = F.col("sides").contains("s")
-    service = F.col("service")
-    return narrow.groupBy("trace_id", "span_id").agg(
-        F.count("*").alias("n"),
-        F.count_if(calling).alias("n_calling"),
-        F.count_if(called).alias("n_called"),
-        F.count_if(calling & called).alias("n_both"),
-        F.min(F.when(calling, service)).alias("calling_service"),
-        F.min(F.when(called, service)).alias("called_service"),
-        F.first("service").alias("only_service"),
-        F.first(
-            F.when(~F.col("client") & has_callers_refs(), F.struct("refs", "peer")), ignorenulls=True
-        ).alias("only_open"),
-        F.min(F.when(F.col("server"), F.struct("start_time", "service")))["service"].alias(
-            "first_server"
-        ),
-    )
-
-
-def parent_service() -> Column:
-    """Service that answers for a span id when another span refers to it."""
-    return F.when(F.col("n") == 1, F.col("only_service")).otherwise(F.col("first_server"))
-
-
-def needs_ordering() -> Column:
-    """Groups whose shared link depends on the order of their spans.
-
-    Both ends are claimed, and not by exactly one calling and one called span or by one span alone.
-    """
-    one_each = (F.col("n_calling") == 1) & (F.col("n_called") == 1)
-    plain = one_each & ((F.col("n_both") == 0) | (F.col("n_both") == 1))
-    return (F.col("n_calling") > 0) & (F.col("n_called") > 0) & ~plain
-
-
-def plain_shared_link() -> Column:
-    """Link of a group that needs no ordering, or null."""
-    both = (F.col("n_calling") == 1) & (F.col("n_called") == 1)
-    known = F.col("calling_service").isNotNull() & F.col("called_service").isNotNull()
-    return F.when(
-        both & known,
-        F.struct(F.col("calling_service").alias("parent"), F.col("called_service").alias("child")),
-    )
+    return narrow.groupBy("trace_id", "span_id").agg(*map(F.expr, _GROUP))
 
 
 def shared_groups(narrow: DataFrame) -> DataFrame:
     """Every span id with its number of distinct spans and the service that answers for it."""
-    return id_groups(narrow).select(
-        "trace_id", "span_id", "n", parent_service().alias("parent_service")
+    return id_groups(narrow).selectExpr(
+        "trace_id", "span_id", "n", f"{ANSWERS} as parent_service"
     )
 
 
@@ -84,19 +64,13 @@ def eligible_spans(narrow: DataFrame) -> DataFrame:
     They have references and a service, and are either alone under their id or client spans: of a
     shared id only the client side is the caller's child.
     """
-    clients = narrow.filter(F.col("client") & has_callers_refs()).select(
+    clients = narrow.filter(f"client and {MAY_BE_CALLED}").select(
         "trace_id", "span_id", "service", "refs", "peer"
     )
     alone = (
         id_groups(narrow)
-        .filter((F.col("n") == 1) & F.col("only_open").isNotNull())
-        .select(
-            "trace_id",
-            "span_id",
-            F.col("only_service").alias("service"),
-            F.col("only_open.refs").alias("refs"),
-            F.col("only_open.peer").alias("peer"),
-        )
+        .filter("n = 1 and only_open is not null")
+        .selectExpr("trace_id", "span_id", "only_service as service", "only_open.refs", "only_open.peer")
     )
     return clients.unionAll(alone)
 

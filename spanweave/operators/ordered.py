@@ -78,43 +78,39 @@ def _instants(claims: DataFrame) -> DataFrame:
     All of them carry the same service, so all that matters is which end is claimed and which first:
     by span digest, then by the order within the span.
     """
-    service = F.col("service")
-    first = {
-        end: F.min(
-            F.when(
-                F.col("sides").contains(end),
-                F.struct("digest", (F.col("sides").startswith(end)).cast("int") * -1),
-            )
-        )
-        for end in "cs"
-    }
-    c, s = F.col("first_c"), F.col("first_s")
-    calling, called = c.isNotNull(), s.isNotNull()
-    calling_first = calling & F.coalesce(c <= s, F.lit(True))
-    called_first = called & ~calling_first
-    known = service.isNotNull()
-    return (
+
+    def first(end: str) -> str:
+        at = f"struct(digest, if(startswith(sides, '{end}'), 0, 1))"
+        return f"min(case when contains(sides, '{end}') then {at} end) as first_{end}"
+
+    ends = (
         claims.groupBy(*ID, "ordered", "start_time", "service")
-        .agg(first["c"].alias("first_c"), first["s"].alias("first_s"))
-        .select(
+        .agg(F.expr(first("c")), F.expr(first("s")))
+        .selectExpr(
             *ID,
             "ordered",
             "start_time",
             "service",
-            F.struct(
-                F.when(calling & called, service),
-                F.when(calling & called, service),
-                F.when(calling & ~called, service),
-                F.when(called & ~calling, service),
-                F.when(called_first, service),
-                F.when(calling_first, service),
-                ~known & ~calling,
-                ~known & ~called,
-            )
-            .cast(_PIECE)
-            .alias("piece"),
+            "first_c is not null as calling",
+            "first_s is not null as called",
+            "first_c is not null and coalesce(first_c <= first_s, true) as calling_first",
         )
     )
+    return ends.selectExpr(
+        *ID,
+        "ordered",
+        "start_time",
+        "service",
+        f"""cast(struct(
+            if(calling and called, service, null),
+            if(calling and called, service, null),
+            if(calling and not called, service, null),
+            if(called and not calling, service, null),
+            if(called and not calling_first, service, null),
+            if(calling_first, service, null),
+            service is null and not calling,
+            service is null and not called) as {_PIECE}) as piece""",
+    )
 
 
 def ordered_shared_links(
