@@ -37,13 +37,14 @@ from spanweave.operators.results import (
 from spanweave.operators.spans import dedup_spans, narrow_spans, trace_groups
 from spanweave.operators.trees import tree_spans, trees
 from spanweave.plans.day import DayJob, ScanOptions, run_day
-from spanweave.sinks.records import day_documents, day_rows, sink_layout, write_documents
+from spanweave.sinks.records import day_documents, day_rows, sink_layout, write_documents, write_rows
 from spanweave.sources.decode import decode_docs
 from spanweave.sources.names import NameRule
 from spanweave.sources.spans import read_docs, read_json_docs, read_span_table
 
 DAY = dt.date(2024, 1, 15)
 LAST_DAY = dt.date(2024, 1, 30)
+NEXT_DAY = dt.date(2024, 1, 31)
 NOW_MILLIS = 1_706_659_200_000  # 2024-01-31T00:00:00Z
 FILE_MARKS = ("-", "_")
 
@@ -379,15 +380,13 @@ def day_document(spark, sf_dir):
 def _stored_rows(spark, sf_dir, layout: str, second: str):
     edges = _event_edges(spark, sf_dir)
     days = spark.range(1).select(F.explode(F.array(F.lit(LAST_DAY), F.lit(NEXT_DAY))).alias("dt"))
-    rows = day_rows(edges, days, "spanweave", layout)
-    return rows.select("ts", second, F.explode_outer("dependencies").alias("d")).select(
+    path = f"{shared_folder(spark)}/{layout}"
+    write_rows(day_rows(edges, days, "spanweave", layout), path)
+    return spark.read.parquet(path).select("ts", second, F.explode_outer("dependencies").alias("d")).select(
         "ts", second, "d.parent", "d.child", F.col("d.callCount").alias("call_count"), "d.source"
     )
 
 
-NEXT_DAY = LAST_DAY + dt.timedelta(days=1)
-
-
 def sink_v2(spark, sf_dir):
     return _stored_rows(spark, sf_dir, "v2", "ts_bucket")
 

@@ -1,4 +1,4 @@
-"""spark-submit entry: python -m spanweave --source span_table --input ... --output ... [day]"""
+"""Command line: spark-submit spanweave/__main__.py --source span_table --input ... --output ... [day]"""
 
 import argparse
 import os

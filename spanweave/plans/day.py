@@ -19,6 +19,7 @@ from spanweave.sinks.records import (
     write_rows,
 )
 from spanweave.sources.names import NameRule
+from spanweave.sources.splits import spread
 from spanweave.sources.spans import RANGE_MILLIS, first_with_rows, read_json_docs, read_span_table
 
 
@@ -70,7 +71,7 @@ def edges_path(job: DayJob, day: dt.date) -> str:
 def _store_edges(spark: SparkSession, job: DayJob, day: dt.date, spans: DataFrame) -> DataFrame:
     """Write the day's edges and read them back, so that nothing is derived twice."""
     path = edges_path(job, day)
-    derive(spans, job.peer_tag).write.mode("overwrite").parquet(path)
+    derive(spread(spans), job.peer_tag).write.mode("overwrite").parquet(path)
     return spark.read.schema(EDGE_SCHEMA).parquet(path)
 
 
