@@ -1,8 +1,6 @@
 """Registered queries: every operator over the analytics tables, as flat comparable rows."""
 
 import datetime as dt
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +35,7 @@ from spanweave.operators.results import (
 from spanweave.operators.spans import dedup_spans, narrow_spans, trace_groups
 from spanweave.operators.trees import tree_spans, trees
 from spanweave.plans.day import DayJob, ScanOptions, run_day
+from spanweave.shared import new_folder
 from spanweave.sinks.records import day_documents, day_rows, sink_layout, write_documents, write_rows
 from spanweave.sources.decode import decode_docs
 from spanweave.sources.names import NameRule
@@ -52,9 +51,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder every executor can reach: under the cluster's checkpoint folder where one is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spanweave-")
-    return f"{root}/spanweave-{uuid.uuid4().hex}"
+    return new_folder(spark, "spanweave")
 
 
 def show_tags(tags: Column) -> Column:
