@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanweave.llm import exact_copies, mixing
+from spanweave.llm import exact_copies, mixing, revisits, shards
 from spanweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mark_copies(table(spark, sf_dir, "documents"))
 
@@ -20,6 +24,15 @@ def op8_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies.mark_copies(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_mixing, op8_exact_copies)}
+def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisits.query(spark, sf_dir)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_sharding, op6_mixing, op8_exact_copies, op10_revisits)}
 
-ORACLE: dict[str, str] = {"op6_mixing": mixing.SQL, "op8_exact_copies": exact_copies.SQL}
+ORACLE: dict[str, str] = {
+    "op5_sharding": shards.SQL,
+    "op6_mixing": mixing.SQL,
+    "op8_exact_copies": exact_copies.SQL,
+    "op10_revisits": revisits.SQL,
+}
