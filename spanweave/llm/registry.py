@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanweave.llm import exact_copies, mixing, revisits, shards
+from spanweave.llm import exact_copies, importance, mixing, outliers, revisits, shards
 from spanweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -24,11 +28,15 @@ def op8_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op9_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisits.query(spark, sf_dir)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_sharding, op6_mixing, op8_exact_copies, op10_revisits)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_importance, op5_sharding, op6_mixing, op8_exact_copies, op9_outliers, op10_revisits)}
 
 ORACLE: dict[str, str] = {
     "op5_sharding": shards.SQL,
