@@ -78,7 +78,7 @@ def shard_documents(
             cover.select(
                 "cell", "depth", "fits", F.col("bytes").alias("shard_bytes"), F.col("docs").alias("shard_docs"),
                 F.when(F.col("depth") == 0, "").otherwise(F.lpad(F.bin("prefix"), F.col("depth"), F.lit("0"))).alias("shard"),
-            ),
+            ).hint("merge"),  # it has a row per cell, more than Spark's estimate says: not to be broadcast
             "cell",
         )
         placed = placed.select("id", "bytes", "shard", "depth", "shard_bytes", "shard_docs", "fits")
