@@ -33,15 +33,20 @@ def _cell(key: Column, i: int, filter_bits: int) -> Column:
 
 def repeated_cells(keys: DataFrame, key: str, filter_bits: int = FILTER_BITS) -> DataFrame:
     """Pass 1: the filter as rows (bucket, bits), at most filter_bits / 32768 of them."""
+    return cells_of(keys, key, filter_bits, 2)
+
+
+def cells_of(keys: DataFrame, key: str, filter_bits: int = FILTER_BITS, hits: int = 1) -> DataFrame:
+    """The cells that so many keys fall into, as bitmaps."""
     cells = keys.select(F.explode(F.array(*(_cell(F.col(key), i, filter_bits) for i in range(HASHES)))).alias("cell"))
-    twice = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
+    twice = cells.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") >= hits)
     return twice.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits")
     )
 
 
 def flag_repeated(rows: DataFrame, key: str, cells: DataFrame, flag: str, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """Pass 2: adds flag, false only where the key occurs once.  The filter is broadcast: its size has a fixed bound."""
+    """Pass 2: adds flag, false only where a cell of the key is not in the filter.  The filter is broadcast: its size has a fixed bound."""
     out, held = rows, []
     for i in range(HASHES):
         bucket, bits, cell = (fresh(out, f"_{x}{i}") for x in ("bucket", "bits", "cell"))

@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanweave.llm import exact_copies, importance, mixing, outliers, revisits, shards
+from spanweave.llm import exact_copies, importance, mixing, near_copies, outliers, revisits, sentencepieces, shards
 from spanweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def piece_model() -> bytes:
+    import public_tokenizers
+
+    return sentencepieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op1_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode_and_check(table(spark, sf_dir, "documents"), piece_model())
+
+
 def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -24,6 +34,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.mark_near_copies(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies.mark_copies(table(spark, sf_dir, "documents"))
 
@@ -36,7 +50,13 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisits.query(spark, sf_dir)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_importance, op5_sharding, op6_mixing, op8_exact_copies, op9_outliers, op10_revisits)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_sentencepieces, op2_importance, op5_sharding, op6_mixing, op7_near_copies, op8_exact_copies, op9_outliers,
+        op10_revisits,
+    )
+}
 
 ORACLE: dict[str, str] = {
     "op5_sharding": shards.SQL,
