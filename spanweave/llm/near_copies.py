@@ -189,26 +189,32 @@ def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     are of one component and kept or not together.  A null id is no component's smallest unless it has no other.  No rows
     in, no rows out; other columns are not looked at.
     """
+    return _marked(docs, id_col, text_col).drop("class").withColumnRenamed("id", id_col)
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     id_type = dict(texts.dtypes)["id"]
     sketches = written(texts.mapInArrow(_sketch_batches, f"id {id_type}, class long, size long, bands array<long>"), "sketches")
     labels = class_links(docs, sketches, id_col, text_col)
     rows = sketches.filter("size > 0").select("id", "class", "size").join(labels.withColumnRenamed("node", "class"), "class", "left")
-    rows = written(rows.select("id", "size", F.coalesce("label", "class").alias("label")), "labelled")
+    rows = written(rows.withColumn("label", F.coalesce("label", "class")), "labelled")
     least = written(rows.groupBy("label").agg(F.min("id").alias("component_id")), "components")
-    found = rows.join(least, "label").select("id", "size", "component_id")
-    alone = sketches.filter("size = 0").select("id", "size", F.col("id").alias("component_id"))
+    found = rows.join(least, "label").select("id", "class", "size", "component_id")
+    alone = sketches.filter("size = 0").select("id", "class", "size", F.col("id").alias("component_id"))
     return found.unionByName(alone).select(
-        F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id",
+        "id", "class", F.col("size").alias("n_shingles"), "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that mark_near_copies() keeps, with all their columns.  Rows that cannot go are not shuffled."""
-    gone = written(mark_near_copies(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("_gone")).distinct(), "gone")
-    flag = fresh(docs, "_maybe")
+    gone = _marked(docs, id_col, text_col).filter("not kept").select(F.col("id").alias("_gone"), F.col("class").alias("_class"))
+    gone = written(gone.distinct(), "gone")
+    flag, own = fresh(docs, "_maybe"), fresh(docs, "_own")
     flagged = flag_repeated(docs, id_col, written(cells_of(gone, "_gone"), "filter"), flag)
     columns = [f"`{c}`" for c in docs.columns]
-    rest = flagged.filter(F.col(flag)).join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    maybe = flagged.filter(F.col(flag)).withColumn(own, class_of(text_col))
+    rest = maybe.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")) & (F.col(own) == F.col("_class")), "left_anti")
     return flagged.filter(~F.col(flag)).select(*columns).unionByName(rest.select(*columns))

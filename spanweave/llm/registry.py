@@ -6,26 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanweave.llm import exact_copies, importance, mixing, near_copies, outliers, revisits, sentencepieces, shards
+import corpus_pipeline
+from spanweave.llm import exact_copies, importance, mixing, near_copies, outliers, revisits, sentencepieces, shards, token_files
 from spanweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def piece_model() -> bytes:
-    import public_tokenizers
-
-    return sentencepieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-
-
 def op1_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepieces.encode_and_check(table(spark, sf_dir, "documents"), piece_model())
+    return sentencepieces.encode_and_check(table(spark, sf_dir, "documents"), sentencepieces.public_model())
 
 
 def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as file:
+        return token_files.query(spark, table(spark, sf_dir, "documents"), file.read())
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -50,11 +52,15 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisits.query(spark, sf_dir)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_sentencepieces, op2_importance, op5_sharding, op6_mixing, op7_near_copies, op8_exact_copies, op9_outliers,
-        op10_revisits,
+        op1_sentencepieces, op2_importance, op4_token_files, op5_sharding, op6_mixing, op7_near_copies, op8_exact_copies,
+        op9_outliers, op10_revisits, pipeline,
     )
 }
 

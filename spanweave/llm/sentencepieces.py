@@ -345,6 +345,12 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
+def public_model() -> bytes:
+    import public_tokenizers
+
+    return read_model(public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """docs with the ids of their texts, array<int>; null and empty texts have none.  A column of that name is replaced."""
 
