@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from spanweave.llm import exact_copies, importance, mixing, near_copies, outliers, revisits, sentencepieces, shards, token_files
+from spanweave.llm import (
+    exact_copies,
+    importance,
+    katz,
+    mixing,
+    near_copies,
+    outliers,
+    revisits,
+    sentencepieces,
+    shards,
+    token_files,
+)
 from spanweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +32,10 @@ def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -59,8 +74,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_sentencepieces, op2_importance, op4_token_files, op5_sharding, op6_mixing, op7_near_copies, op8_exact_copies,
-        op9_outliers, op10_revisits, pipeline,
+        op1_sentencepieces, op2_importance, op3_katz, op4_token_files, op5_sharding, op6_mixing, op7_near_copies,
+        op8_exact_copies, op9_outliers, op10_revisits, pipeline,
     )
 }
 
