@@ -172,7 +172,7 @@ ORACLE: dict[str, str] = {
     ),
     "source_fallback": _edges(SPANS_EVENTS, "spans_events"),
     "missing_source": _edges(SPANS_EVENTS, "spans_events"),
-    "sink_layout": _edges(SPANS_EVENTS, "spans_events", select="select *, 'v1' as layout from edges"),
+    "sink_layout": _edges(SPANS_EVENTS, "spans_events", select="select * from edges, (values ('v1'), ('v2')) as l(layout)"),
     "decode_spans": _with(
         SPANS_ORDERS,
         select=f"select trace_id, span_id, start_time, service, {_TEXTS} from spans_orders",

@@ -187,8 +187,14 @@ def missing_source(spark, sf_dir):
 
 
 def sink_layout_query(spark, sf_dir):
-    layout = sink_layout(spark, "spanweave_absent_dependencies_v2")
-    return derive(spans_events(spark, sf_dir)).withColumn("layout", F.lit(layout))
+    path = f"{shared_folder(spark)}/dependencies_v2"
+    edges = _event_edges(spark, sf_dir)
+    before = sink_layout(spark, path)
+    days = spark.range(1).select(F.lit(LAST_DAY).alias("dt"))
+    write_rows(day_rows(edges, days, "spanweave", "v2"), path)
+    links = spark.read.parquet(path).select(F.explode("dependencies").alias("d"))
+    layouts = F.explode(F.array(F.lit(before), F.lit(sink_layout(spark, path)))).alias("layout")
+    return links.select("d.parent", "d.child", F.col("d.callCount").alias("call_count"), layouts)
 
 
 # Decoding
@@ -370,7 +376,7 @@ def _event_edges(spark, sf_dir):
 
 def day_document(spark, sf_dir):
     path = f"{shared_folder(spark)}/documents"
-    write_documents(day_documents(_event_edges(spark, sf_dir), "spanweave", max_links=10), path)
+    write_documents(day_documents(_event_edges(spark, sf_dir), "spanweave"), path)
     return read_documents(spark.read.text(path))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 
 from spanweave.functions.tags import PEER_KEY
 from spanweave.plans.day import DayJob, ScanOptions, run_day
+from spanweave.sinks.records import PARTS
 from spanweave.sources.names import NameRule
 from spanweave.sources.spans import RANGE_MILLIS
 
@@ -26,7 +27,10 @@ def parse_args(argv: list[str] | None = None) -> DayJob:
     parser.add_argument("--range-hours", type=float, default=RANGE_MILLIS / 3_600_000, help="0 reads all")
     parser.add_argument("--span-base", default="span")
     parser.add_argument("--dependency-base", default="dependencies")
+    parser.add_argument("--now-millis", type=int, help="what the range counts from; the clock if not given")
+    parser.add_argument("--parts", type=int, default=PARTS, help="records a day is stored in")
     parser.add_argument("--prefix", default="")
+    parser.add_argument("--prefix-marks", nargs="+", default=list(NameRule.prefix_marks), help="tried in this order")
     parser.add_argument("--separator", default="-")
     parser.add_argument("--aliases", action="store_true")
     parser.add_argument("--type-suffix", action="store_true")
@@ -37,6 +41,7 @@ def parse_args(argv: list[str] | None = None) -> DayJob:
         span_base=args.span_base,
         dependency_base=args.dependency_base,
         prefix=args.prefix,
+        prefix_marks=tuple(args.prefix_marks),
         separator=args.separator,
         aliases=args.aliases,
         type_suffix=args.type_suffix,
@@ -44,6 +49,7 @@ def parse_args(argv: list[str] | None = None) -> DayJob:
     scan = ScanOptions(
         names=names,
         range_millis=int(args.range_hours * 3_600_000) or None,
+        now_millis=args.now_millis,
         mode=args.mode,
         closed=args.closed,
     )
@@ -55,10 +61,12 @@ def parse_args(argv: list[str] | None = None) -> DayJob:
         args.peer_tag,
         args.layout,
         args.label,
+        args.parts,
         scan=scan,
     )
 
 
 if __name__ == "__main__":
     job = parse_args()
-    run_day(SparkSession.builder.appName("spanweave").getOrCreate(), job)
+    edges = run_day(SparkSession.builder.appName("spanweave").getOrCreate(), job)
+    print(f"{edges.count()} links stored")

@@ -11,7 +11,8 @@ from spanweave.functions.tags import PEER_KEY
 from spanweave.operators.derive import derive
 from spanweave.schema import EDGE_SCHEMA
 from spanweave.sinks.records import (
-    MAX_LINKS,
+    PARTS,
+    clear_documents,
     day_documents,
     day_rows,
     sink_layout,
@@ -19,7 +20,6 @@ from spanweave.sinks.records import (
     write_rows,
 )
 from spanweave.sources.names import NameRule
-from spanweave.sources.splits import spread
 from spanweave.sources.spans import RANGE_MILLIS, first_with_rows, read_json_docs, read_span_table
 
 
@@ -49,8 +49,9 @@ class DayJob:
     input     folder of the partitions, or the span table
     output    folder of the results: the edge table in edges/, the records beside it
     day       date or its text; today in UTC if not given
-    layout    v2 or v1 of the wide-row records; found by looking for the v2 table if not given
+    layout    v2 or v1 of the wide-row records; v2 if the output holds such a table already, else v1, if not given
     label     value of the `source` field of stored links
+    parts     records per day, see `spanweave.sinks.records`
     """
 
     source: str
@@ -60,7 +61,7 @@ class DayJob:
     peer_tag: str = PEER_KEY
     layout: str | None = None
     label: str = "spanweave"
-    max_links: int = MAX_LINKS
+    parts: int = PARTS
     scan: ScanOptions = field(default_factory=ScanOptions)
 
 
@@ -71,7 +72,7 @@ def edges_path(job: DayJob, day: dt.date) -> str:
 def _store_edges(spark: SparkSession, job: DayJob, day: dt.date, spans: DataFrame) -> DataFrame:
     """Write the day's edges and read them back, so that nothing is derived twice."""
     path = edges_path(job, day)
-    derive(spread(spans), job.peer_tag).write.mode("overwrite").parquet(path)
+    derive(spans, job.peer_tag).write.mode("overwrite").parquet(path)
     return spark.read.schema(EDGE_SCHEMA).parquet(path)
 
 
@@ -91,7 +92,10 @@ def _run_json_docs(spark: SparkSession, job: DayJob, day: dt.date) -> DataFrame:
             yield write_name, _store_edges(spark, job, day, spans)
 
     write_name, edges = first_with_rows(edges_of_candidates())
-    documents = day_documents(_dated(edges, day), job.label, job.max_links)
+    # An earlier run may have stored the day under any of the names.
+    for _, name in scan.names.candidates(day):
+        clear_documents(spark, f"{job.output}/{name}", day.isoformat())
+    documents = day_documents(_dated(edges, day), job.label, job.parts)
     write_documents(documents, f"{job.output}/{write_name}")
     return edges
 
@@ -99,9 +103,9 @@ def _run_json_docs(spark: SparkSession, job: DayJob, day: dt.date) -> DataFrame:
 def _run_span_table(spark: SparkSession, job: DayJob, day: dt.date) -> DataFrame:
     """A record is stored also for a day without links."""
     edges = _store_edges(spark, job, day, read_span_table(spark, job.input, day, job.scan.closed))
-    layout = job.layout or sink_layout(spark)
+    layout = job.layout or sink_layout(spark, f"{job.output}/dependencies_v2")
     days = spark.range(1).select(F.lit(day).alias("dt"))
-    rows = day_rows(_dated(edges, day), days, job.label, layout, job.max_links)
+    rows = day_rows(_dated(edges, day), days, job.label, layout, job.parts)
     write_rows(rows, f"{job.output}/dependencies_{layout}")
     return edges
 

@@ -3,7 +3,7 @@
 import datetime as dt
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +16,11 @@ RANGE_MILLIS = 24 * 3600 * 1000
 
 
 def or_empty(read: Callable[[], DataFrame], spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """A source that does not exist reads as empty."""
+    """A source that does not exist reads as empty, also one whose name the file system refuses."""
     try:
         return read()
+    except IllegalArgumentException:
+        return spark.createDataFrame([], schema)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

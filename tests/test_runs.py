@@ -44,6 +44,8 @@ def test_search_day_is_idempotent(spark, tmp_path):
         {
             "dependencies": [{"parent": "web", "child": "api", "callCount": 1, "source": "us"}],
             "timestamp": "2024-01-15T00:00:00Z",
+            "part": 0,
+            "parts": 1,
         }
     ]
 
@@ -79,21 +81,54 @@ def test_unknown_source(spark, tmp_path):
         run_day(spark, DayJob("other", "in", "out"))
 
 
-def test_layout_follows_the_table(spark):
-    assert sink_layout(spark, "no_such_dependencies_v2") == "v1"
-    spark.range(1).createOrReplaceTempView("dependencies_v2_here")
-    assert sink_layout(spark, "dependencies_v2_here") == "v2"
+def test_layout_follows_the_stored_table(spark, tmp_path):
+    frame(spark, CHAIN, legacy=True).write.parquet(str(tmp_path / "in"))
+    job = DayJob("span_table", str(tmp_path / "in"), str(tmp_path / "out"), DAY)
+    run_day(spark, job)
+    assert not (tmp_path / "out/dependencies_v2").exists()
+    assert sink_layout(spark, str(tmp_path / "out/dependencies_v2")) == "v1"
+    run_day(spark, DayJob("span_table", str(tmp_path / "in"), str(tmp_path / "out"), DAY, layout="v2"))
+    assert sink_layout(spark, str(tmp_path / "out/dependencies_v2")) == "v2"
+    run_day(spark, job)
+    assert spark.read.parquet(str(tmp_path / "out/dependencies_v2")).count() == 1
 
 
-def test_long_days_are_split_without_loss(spark):
-    rows = spark.range(1000).selectExpr(
+def many_edges(spark, n):
+    return spark.range(n).selectExpr(
         "date'2024-01-15' dt", "cast(id as string) parent", "'x' child", "id call_count"
     )
-    documents = day_documents(rows, "us", max_links=100).collect()
-    links = [d for doc in documents for d in json.loads(doc.value)["dependencies"]]
-    assert len(documents) > 1 and sorted(d["callCount"] for d in links) == list(range(1000))
-    parts = day_rows(rows, rows.select("dt").distinct(), "us", max_links=100)
-    assert parts.select(F.explode("dependencies")).count() == 1000
+
+
+@pytest.mark.parametrize("n", [1, 200_000])
+@pytest.mark.parametrize("parts", [1, 4])
+def test_a_day_has_one_layout_at_every_size(spark, n, parts):
+    rows = many_edges(spark, n)
+    documents = [json.loads(d.value) for d in day_documents(rows, "us", parts).collect()]
+    assert {d["parts"] for d in documents} == {parts} and len({d["part"] for d in documents}) == len(documents)
+    assert sum(len(d["dependencies"]) for d in documents) == n
+    stored = day_rows(rows, rows.select("dt").distinct(), "us", "v2", parts)
+    keys = [(r.ts, r.ts_bucket, r.part, r.parts) for r in stored.collect()]
+    assert len(keys) == parts == len(set(keys))
+    assert stored.select(F.explode("dependencies")).count() == n
+
+
+def test_an_empty_rerun_leaves_no_document(spark, tmp_path):
+    source = str(tmp_path / "in/p_span-2024-01-15")
+    to_docs(frame(spark, CHAIN)).write.text(source)
+    run_day(spark, search_job(tmp_path))
+    assert len(stored(tmp_path, "p_dependencies-2024-01-15")) == 1
+    to_docs(frame(spark, CHAIN[:1])).write.mode("overwrite").text(source)
+    assert edges(run_day(spark, search_job(tmp_path))) == []
+    assert stored(tmp_path, "p_dependencies-2024-01-15") == []
+
+
+def test_a_day_moves_with_its_source(spark, tmp_path):
+    to_docs(frame(spark, CHAIN)).write.text(str(tmp_path / "in/p_span-2024-01-15"))
+    run_day(spark, search_job(tmp_path))
+    to_docs(frame(spark, CHAIN)).write.text(str(tmp_path / "in/p-span-2024-01-15"))
+    run_day(spark, search_job(tmp_path))
+    assert len(stored(tmp_path, "p-dependencies-2024-01-15")) == 1
+    assert stored(tmp_path, "p_dependencies-2024-01-15") == []
 
 
 def test_difference_counts_repeats(spark):
