@@ -7,9 +7,11 @@ of two sets agree is concentrated around their similarity.  Bands of ROWS coordi
 similarity of exactly 0.75 share none of BANDS buckets with a chance of 4 in a million.
 
 Documents with one set are a class; from there on a class counts once.  Pairs of a bucket are confirmed on the full sets
-in rounds, so that a group of m copies costs about m confirmations and not m * m: first every class against the least
-of all classes it shares a bucket with, then against the least of each bucket, then whatever is left in a bucket whose
-classes are not connected by then.  Nothing is left out: a pair of a bucket is confirmed or already connected.
+in rounds, so that a group of m copies costs about m confirmations and not m * m.  First every class is compared with the
+least of all classes it shares a bucket with.  Where a bucket then still holds several components, its classes are
+compared with a few of its members.  What is left is compared pair by pair, but for pairs that are connected by then and
+pairs that counts rule out: one set has too few elements that occur anywhere else, or too few of the coordinates agree.
+So a pair of a bucket is confirmed, refuted, connected already, or ruled out.
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 64, 6
 BINS = BANDS * ROWS
+PIVOTS = 3
+#: Of the coordinates' last four bits so many agree, but for a chance of 1 in 10 million, when two sets are similar.
+LEAST_AGREEING = 250
 
 _U = np.uint64
 _rng = np.random.default_rng(7)
@@ -79,23 +84,39 @@ def band_keys(coordinates: np.ndarray) -> np.ndarray:
     return scramble((coordinates.reshape(BANDS, ROWS) * _BAND).sum(axis=1, dtype=np.uint64) + _SEED)
 
 
+def last_bits(coordinates: np.ndarray) -> np.ndarray:
+    """Four bits of each coordinate, sixteen to a number."""
+    nibbles = (coordinates & _U(15)).reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * _U(4))
+    return np.bitwise_or.reduce(nibbles, axis=1)
+
+
+def _agreeing(one: str, other: str) -> str:
+    """SQL: how many coordinates of two sketches agree in their last bits."""
+    either = "(d | shiftrightunsigned(d, 1))"
+    differ = f"bit_count(({either} | shiftrightunsigned({either}, 2)) & 1229782938247303441L)"  # 0x1111...
+    return f"({BINS} - aggregate(zip_with({one}, {other}, (a, b) -> a ^ b), 0, (n, d) -> n + {differ}))"
+
+
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(np.concatenate(parts) if parts else []))
+
+
 def _signed(values: np.ndarray | list) -> pa.Array:
     return pa.array(np.asarray(values, np.uint64).view(np.int64))
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        classes, sizes, bands = [], [], []
+        classes, sizes, bands, bits = [], [], [], []
         for elements in shingle_sets(batch.column(1)):
+            coordinates = sketch(elements) if len(elements) else elements
             sizes.append(len(elements))
             classes.append(int(scramble(scramble(elements).sum(dtype=np.uint64, keepdims=True))[0]))
-            bands.append(band_keys(sketch(elements)) if len(elements) else elements)
-        keys = np.concatenate(bands) if bands else np.zeros(0, np.uint64)
-        ends = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), _signed(keys))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), _signed(classes), pa.array(sizes, pa.int64()), lists], ["id", "class", "size", "bands"]
-        )
+            bands.append(band_keys(coordinates) if len(elements) else elements)
+            bits.append(last_bits(coordinates) if len(elements) else elements)
+        columns = [batch.column(0), _signed(classes), pa.array(sizes, pa.int64()), _lists(bands), _lists(bits)]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "class", "size", "bands", "bits"])
 
 
 @F.arrow_udf(T.LongType())
@@ -103,6 +124,11 @@ def class_of(texts: pa.Array) -> pa.Array:
     return _signed([int(scramble(scramble(s).sum(dtype=np.uint64, keepdims=True))[0]) for s in shingle_sets(texts)])
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def elements_of(texts: pa.Array) -> pa.Array:
+    return _lists(list(shingle_sets(texts)))
+
+
 @F.arrow_udf(T.BooleanType())
 def similar(one: pa.Array, other: pa.Array) -> pa.Array:
     found = []
@@ -126,7 +152,7 @@ def _fits(one: str, other: str) -> str:
 
 def class_links(docs: DataFrame, sketches: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, label): the components of the classes that have links."""
-    classes = written(sketches.filter("size > 0").dropDuplicates(["class"]).select("class", "size", "bands"), "classes")
+    classes = written(sketches.filter("size > 0").dropDuplicates(["class"]).select("class", "size", "bands", "bits"), "classes")
     rows = classes.select("class", "size", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(
         F.min("class").alias("pivot"), F.max("class").alias("last"), F.min_by("size", "class").alias("pivot_size")
@@ -134,39 +160,57 @@ def class_links(docs: DataFrame, sketches: DataFrame, id_col: str, text_col: str
     buckets = written(buckets.filter("pivot < last").select("key", "pivot", "pivot_size"), "buckets")
     members = written(rows.join(buckets, "key"), "members")
 
-    stars = members.filter("class <> pivot AND " + _fits("size", "pivot_size")).select(
-        F.col("class").alias("b"), F.col("pivot").alias("a")
-    )
-    stars = written(stars.distinct(), "stars")
+    near = lambda a, b: f"{_agreeing(a, b)} >= {LEAST_AGREEING}"
     texts = _texts(docs, sketches, members.select("class").distinct(), id_col, text_col)
-
-    first = written(stars.groupBy("b").agg(F.min("a").alias("a")), "first")
-    links = written(_confirmed(first, texts), "links")
-    labels = written(components(links), "labels")
-
-    rest = _apart(stars.join(first, ["a", "b"], "left_anti"), labels)
-    links = written(links.unionByName(_confirmed(rest, texts)), "links")
-    labels = written(components(links), "labels")
-
+    first = members.filter("class <> pivot AND " + _fits("size", "pivot_size")).groupBy(F.col("class").alias("b"))
+    labels = written(components(_confirmed(first.agg(F.min("pivot").alias("a")), texts)), "labels")
+
+    split = _split(members, labels, classes)
+    pivots = [
+        F.min(F.struct(F.xxhash64("class", F.lit(i)).alias("h"), "class", "size", "label", "bits")).alias(f"p{i}") for i in range(PIVOTS)
+    ]
+    chosen = written(split.groupBy("key").agg(*pivots), "pivots")
+    chosen = chosen.select("key", F.explode(F.array(*(f"p{i}" for i in range(PIVOTS)))).alias("p"))
+    stars = split.join(chosen, "key").filter(f"label <> p.label AND {_fits('size', 'p.size')} AND {near('bits', 'p.bits')}")
+    stars = stars.select(F.least("class", "p.class").alias("a"), F.greatest("class", "p.class").alias("b")).distinct()
+    labels = written(components(_edges(labels).unionByName(_confirmed(stars, texts))), "labels")
+
+    split = _split(members, labels, classes)
+    known = _known_shingles(split, texts)
+    split = written(split.join(known, "class"), "split")
+    columns = ("class", "size", "known", "label", "bits", "bands")
+    one, other = (split.select("key", *(F.col(c).alias(f"{c}_{i}") for c in columns)) for i in (1, 2))
+    # Two similar sets share so much that each must have as many elements which some other set has, too.
+    enough = f"{100 + PERCENT} * least(known_1, known_2) >= {PERCENT} * (size_1 + size_2)"
+    once = "element_at(array_intersect(bands_1, bands_2), 1) = one.key"  # not in every bucket that they share
+    checks = f"label_1 < label_2 AND {_fits('size_1', 'size_2')} AND {enough} AND {near('bits_1', 'bits_2')} AND {once}"
+    pairs = one.alias("one").join(other.alias("other"), F.expr(f"one.key = other.key AND {checks}"))
+    pairs = pairs.select(F.col("class_1").alias("a"), F.col("class_2").alias("b"))
+    return components(_edges(labels).unionByName(_confirmed(pairs, texts)))
+
+
+def _split(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component: (key, class, size, label, bits, bands)."""
     named = members.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
         "key", "class", "size", F.coalesce("label", "class").alias("label")
     )
-    split = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    named = written(named.join(split.select("key"), "key", "left_semi"), "split")
-    one = named.select("key", F.col("class").alias("x"), F.col("size").alias("sx"), F.col("label").alias("lx"))
-    other = named.select("key", F.col("class").alias("y"), F.col("size").alias("sy"), F.col("label").alias("ly"))
-    pairs = one.join(other, "key").filter("lx < ly AND " + _fits("sx", "sy"))
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    pairs = written(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
-    return components(links.unionByName(_confirmed(pairs, texts)))
+    named = written(named, "named")
+    keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    split = named.join(written(keys.select("key"), "keys"), "key", "left_semi")
+    return written(split.join(classes.drop("size"), "class"), "split")
+
+
+def _known_shingles(split: DataFrame, texts: DataFrame) -> DataFrame:
+    """(class, known): how many elements of its set some other class of split has as well."""
+    sets = texts.join(split.select("class").distinct(), "class", "left_semi")
+    elements = written(sets.select("class", F.explode(elements_of("text")).alias("element")), "elements")
+    counts = written(elements.groupBy("element").agg(F.count("*").alias("n")).filter("n > 1").select("element"), "shared")
+    shared = elements.join(counts, "element", "left_semi").groupBy("class").agg(F.count("*").alias("known"))
+    return shared
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs not connected yet."""
-    for end in ("a", "b"):
-        side = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
-        pairs = pairs.join(side, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
-    return written(pairs.filter("label_a <> label_b").select("a", "b"), "apart")
+def _edges(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
 
 
 def _texts(docs: DataFrame, sketches: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -195,7 +239,7 @@ def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     id_type = dict(texts.dtypes)["id"]
-    sketches = written(texts.mapInArrow(_sketch_batches, f"id {id_type}, class long, size long, bands array<long>"), "sketches")
+    sketches = written(texts.mapInArrow(_sketch_batches, f"id {id_type}, class long, size long, bands array<long>, bits array<long>"), "sketches")
     labels = class_links(docs, sketches, id_col, text_col)
     rows = sketches.filter("size > 0").select("id", "class", "size").join(labels.withColumnRenamed("node", "class"), "class", "left")
     rows = written(rows.withColumn("label", F.coalesce("label", "class")), "labelled")
