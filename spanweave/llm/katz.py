@@ -28,8 +28,9 @@ from spanweave.llm.hashing import scramble, text_chunks, token_hashes
 from spanweave.shared import written
 
 FOLDS, HELD_OUT = 5, 1
-BLOCK_TOKENS = 1 << 21
-PARTITION_KEYS = 1 << 20
+BLOCK_TOKENS = 3 << 19
+PARTITION_KEYS = 1 << 19
+PAIR_BITS = 56  # of a pair's hash; among 10^9 pairs some four share one
 TURING = 5  # counts up to this are discounted
 END, BEGIN = np.uint64(1), np.uint64(2)
 
@@ -110,7 +111,7 @@ def _pairs(words: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarra
     begin = np.flatnonzero(words == BEGIN)[0]
     inside = tokens[1:] != begin
     left, right = tokens[:-1][inside], tokens[1:][inside]
-    return scramble(words[left] * _LEFT + words[right] * _RIGHT), left, right
+    return scramble(words[left] * _LEFT + words[right] * _RIGHT) >> _U(64 - PAIR_BITS), left, right
 
 
 class Block(NamedTuple):
@@ -143,7 +144,8 @@ _ASKED = "kind string, part int, block long, keys binary, sums array<binary>"
 
 def _ask(kind: str, block: int, keys: np.ndarray, sums: list[np.ndarray], parts: int) -> Iterator[tuple]:
     """Sorted keys and what is to be added up, to the partitions."""
-    cuts = np.searchsorted(((keys >> _U(32)) * _U(parts)) >> _U(32), np.arange(parts + 1))
+    high = keys >> _U((PAIR_BITS if kind == "pair" else 64) - 32)
+    cuts = np.searchsorted((high * _U(parts)) >> _U(32), np.arange(parts + 1))
     for part, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
         yield kind, part, block, _pack_keys(keys[low:high]), [pack(np.asarray(s[low:high], np.float64)) for s in sums]
 
@@ -168,6 +170,8 @@ def _add_up(table: pa.Table) -> pa.Table:
     owned = np.zeros(len(place))
     owned[first] = 1
     kind, part = rows[0]["kind"], rows[0]["part"]
+    if kind == "history":
+        sums = [_backoff(*sums)]
     out, at = [(kind, part, None, _pack_keys(keys), [pack(s) for s in sums])], 0
     for row, own in zip(rows, asked, strict=True):
         here = slice(at, at + len(own))
@@ -176,6 +180,15 @@ def _add_up(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_rows(_ASKED, out)])
 
 
+def _backoff(share: np.ndarray, covered: np.ndarray) -> np.ndarray:
+    """What a history leaves to words not seen after it, over what those have without it.
+
+    share is what its pairs take, covered what their words have.  Where discounting left nothing it is negative, and to
+    be divided by minus the history's count and one: one more occurrence than counted makes room.
+    """
+    return np.where(share > 1 - 1e-9, -1.0, 1 - share) / (1 - covered)
+
+
 def _exchange(asked: DataFrame) -> DataFrame:
     """Tables and answers of all partitions."""
     return written(asked.groupBy("kind", "part").applyInArrow(_add_up, _ASKED), "katz")
@@ -289,7 +302,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left, right = b.left[b.first[seen]], b.right[b.first[seen]]
         mass = np.bincount(left, _discounted(pair_counts[seen], discount), len(b.words))
         covered = np.bincount(left, lower.probability(word_counts[right]), len(b.words))
-        sums = [mass[b.word_order], covered[b.word_order]]
+        sums = [(mass / np.maximum(word_counts, 1))[b.word_order], covered[b.word_order]]
         return pa.Table.from_batches([_rows(_ASKED, list(_ask("history", row["block"], b.words[b.word_order], sums, word_parts)))])
 
     asked = counted.filter("block IS NOT NULL")
@@ -299,12 +312,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def evaluate(texts: pa.Table, answers: pa.Table) -> pa.Table:
         b, rows = _open(texts.to_pylist()[0]), answers.to_pylist()
         word_counts, pair_counts, _ = counts_in(b, rows)
-        mass, covered = np.empty(len(b.words)), np.empty(len(b.words))
-        mass[b.word_order], covered[b.word_order] = _answers(rows, "history")[:2]
-        share = mass / np.maximum(word_counts, 1)
-        # A history with no discounted pair has nothing left: one more occurrence than counted makes room.
-        room = np.where(share > 1 - 1e-9, word_counts / (word_counts + 1), 1.0)
-        backoff = np.where(word_counts > 0, (1 - room * share) / (1 - covered), 1.0)
+        backoff = np.empty(len(b.words))
+        backoff[b.word_order] = _answers(rows, "history")[0]
+        room = np.where(backoff < 0, word_counts / (word_counts + 1), 1.0)
+        backoff = np.where(backoff < 0, -backoff / (word_counts + 1), backoff)
         single = lower.probability(word_counts)
         left, right, pair = b.left, b.right, pair_counts[b.pair_of]
         seen = pair > 0
