@@ -80,6 +80,8 @@ u as (
     count(*) over (partition by trace_id, span_id) n,
     row_number() over (partition by trace_id, span_id
       order by start_time nulls first, service nulls first,
+        coalesce(list_filter(tags, lambda t: t.value in ('client', 'producer', 'server', 'consumer'))[1].value
+          in ('server', 'consumer'), false),
         array_to_string(list_transform(tags, lambda t: t.key || '=' || coalesce(t.value, '')), ';')) ord
   from u0),
 claim0 as (
@@ -117,6 +119,12 @@ links as (
 edges as (select parent, child, cast(count(*) as bigint) call_count from links group by 1, 2)"""
 
 
+SPANS_TIES = """,
+spans_ties as (
+  select trace_id, span_id % 2 span_id, start_time // 31536000000000 start_time, substr(service, 1, 6) service,
+    tags, refs from spans_orders)"""
+
+
 def _with(*ctes: str, select: str) -> str:
     return "with " + ",".join(ctes) + "\n" + select
 
@@ -156,6 +164,9 @@ ORACLE: dict[str, str] = {
     "day_scan": _with(
         SPANS_EVENTS + _EVENT_DAY, select="select trace_id, span_id, start_time, service from day_events"
     ),
+    "day_scan_late": _with(
+        SPANS_EVENTS + _EVENT_DAY, select="select trace_id, span_id, start_time, service from day_events"
+    ),
     "range_scan": _with(
         SPANS_EVENTS.replace("cast(ts as date)::varchar trace_id", "cast(ts as date)::varchar id"),
         select=f"""select lpad(id, 32, '0') trace_id, span_id, start_time, service, {_TEXTS}
@@ -179,8 +190,19 @@ ORACLE: dict[str, str] = {
     ),
     "decode_tags": """
         select event_id, 'event:STRING:' || event_type || ';value:float64:-;k:string:'
-          || coalesce(json_extract_string(props, '$.k'), '-') || ';absent:string:-' as tag_text
+          || coalesce(json_extract_string(props, '$.k'), '-') || ';nested:string:-;list:string:-;flag:string:true;number:string:'
+          || event_id || ';absent:string:-' as tag_text
         from events""",
+    "decode_rows": _with(
+        SPANS_ORDERS,
+        select=f"select trace_id, span_id, start_time, service, {_TEXTS} from spans_orders",
+    ),
+    "rejected_docs": """
+        select case event_id % 4 when 1 then '{"broken ' || event_id
+            when 2 then '{"traceID":"1","spanID":"1","tags":"' || event_id || '"}'
+            else '{"traceID":"' || lower(hex(event_id)) || '"}' end as text,
+          case event_id % 4 when 3 then 'missing traceID or spanID' else 'not in the documents'' format' end as flaw
+        from events where event_id % 4 <> 0""",
     "merge_tag_fields": """
         select event_id, 'event:string:' || event_type || ';n:int64:-;k:-:'
           || json_extract_string(props, '$.k') as tag_text
@@ -274,6 +296,7 @@ ORACLE: dict[str, str] = {
         select="select trace_id, span_id, service, peer, array_to_string(refs, ',') ref_text from leaves",
     ),
     "shared_links": _by_kind(SPANS_ORDERS, "spans_orders", "shared"),
+    "shared_ties": _by_kind(SPANS_ORDERS + SPANS_TIES, "spans_ties", "shared"),
     "parent_links": _by_kind(SPANS_ORDERS, "spans_orders", "parent"),
     "peer_links": _by_kind(SPANS_ORDERS, "spans_orders", "peer"),
     "all_links": _by_kind(SPANS_REPEATED, "spans_repeated"),

@@ -16,7 +16,6 @@ from spanweave.fixtures import (
 from spanweave.functions.ids import hex_to_long, long_to_hex, normalize_trace_id
 from spanweave.functions.refs import append_parent, merge_refs, ref_text
 from spanweave.functions.tags import (
-    decode_tags,
     is_client,
     is_server,
     merge_tags,
@@ -37,7 +36,8 @@ from spanweave.operators.trees import tree_spans, trees
 from spanweave.plans.day import DayJob, ScanOptions, run_day
 from spanweave.shared import new_folder
 from spanweave.sinks.records import day_documents, day_rows, sink_layout, write_documents, write_rows
-from spanweave.sources.decode import decode_docs
+from spanweave.schema import RAW_JSON_SCHEMA
+from spanweave.sources.decode import decode_docs, rejected_docs
 from spanweave.sources.names import NameRule
 from spanweave.sources.spans import read_docs, read_json_docs, read_span_table
 
@@ -130,6 +130,52 @@ def day_scan(spark, sf_dir):
     )
 
 
+def _nested(spans: DataFrame) -> DataFrame:
+    """The wide-row store's own layout."""
+    tag = lambda t: F.struct(
+        t["key"].alias("key"), t["vtype"].alias("value_type"), t["value"].alias("value_string")
+    )
+    return spans.select(
+        F.unhex("trace_id").alias("trace_id"),
+        "span_id",
+        "start_time",
+        F.struct(F.col("service").alias("service_name")).alias("process"),
+        F.transform("tags", tag).alias("tags"),
+        F.transform("refs", lambda r: F.struct(r.alias("span_id"), F.lit("CHILD_OF").alias("ref_type"))).alias("refs"),
+    )
+
+
+def decode_rows_query(spark, sf_dir):
+    path = f"{shared_folder(spark)}/spans"
+    _nested(spans_orders(spark, sf_dir)).write.parquet(path)
+    return show_spans(read_span_table(spark, path))
+
+
+def day_scan_late(spark, sf_dir):
+    """Every span lies in the folder of the day after its own."""
+    path = f"{shared_folder(spark)}/spans"
+    arrived = F.date_add(F.to_date(F.timestamp_micros("start_time")), 1)
+    spans_events(spark, sf_dir).withColumn("dt", arrived).write.partitionBy("dt").parquet(path)
+    return read_span_table(spark, path, DAY, legacy_parent=False, dt_window=(0, 1)).select(
+        "trace_id", "span_id", "start_time", "service"
+    )
+
+
+def rejected_docs_query(spark, sf_dir):
+    """Of every four events one is a span; one is no JSON, one has a field of another type, one lacks an id."""
+    path = f"{shared_folder(spark)}/docs"
+    event = F.col("event_id").cast("string")
+    span_id = F.lower(F.hex("event_id"))
+    line = (
+        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit('{"traceID":"1","spanID":"'), span_id, F.lit('"}')))
+        .when(F.col("event_id") % 4 == 1, F.concat(F.lit('{"broken '), event))
+        .when(F.col("event_id") % 4 == 2, F.concat(F.lit('{"traceID":"1","spanID":"1","tags":"'), event, F.lit('"}')))
+        .otherwise(F.concat(F.lit('{"traceID":"'), span_id, F.lit('"}')))
+    )
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    return rejected_docs(read_docs(spark, path, "permissive"))
+
+
 def range_scan(spark, sf_dir):
     path = stored_docs(spans_events(spark, sf_dir), f"{shared_folder(spark)}/docs")
     return show_spans(read_json_docs(spark, path, now_millis=NOW_MILLIS))
@@ -208,6 +254,10 @@ def decode_spans(spark, sf_dir):
     return show_spans(decode_docs(_docs_of(spans_orders(spark, sf_dir))))
 
 
+def _raw_json(key: str, vtype: str, value: Column) -> Column:
+    return F.concat(F.lit(f'{{"key":"{key}","type":"{vtype}","value":'), value, F.lit("}"))
+
+
 def _raw_tag(key: str, vtype: str, value: Column) -> Column:
     return F.struct(
         F.lit(key).alias("key"), F.lit(vtype).alias("type"), value.cast("string").alias("value")
@@ -215,15 +265,24 @@ def _raw_tag(key: str, vtype: str, value: Column) -> Column:
 
 
 def decode_tags_query(spark, sf_dir):
-    tags = F.array(
-        _raw_tag("event", "STRING", F.col("event_type")),
-        _raw_tag("value", "float64", F.col("value")),
-        _raw_tag("k", "string", F.get_json_object("props", "$.k")),
-        _raw_tag("absent", "string", F.lit(None)),
+    number = F.col("event_id").cast("string")
+    tags = F.concat_ws(
+        ",",
+        _raw_json("event", "STRING", F.to_json(F.struct("event_type")).substr(F.lit(15), F.length("event_type") + 2)),
+        _raw_json("value", "float64", F.lit("1.5")),
+        _raw_json("k", "string", F.coalesce(F.to_json(F.get_json_object("props", "$.k").cast("variant")), F.lit("null"))),
+        _raw_json("nested", "string", F.concat(F.lit('{"a":'), number, F.lit("}"))),
+        _raw_json("list", "string", F.concat(F.lit("["), number, F.lit("]"))),
+        _raw_json("flag", "string", F.lit("true")),
+        _raw_json("number", "string", number),
+        _raw_json("absent", "string", F.lit("null")),
     )
-    return table(spark, sf_dir, "events").select(
-        "event_id", show_tags(decode_tags(tags)).alias("tag_text")
+    docs = table(spark, sf_dir, "events").select(
+        "event_id", F.concat(F.lit('{"traceID":"1","spanID":"'), F.hex("event_id"), F.lit('","tags":['), tags, F.lit("]}")).alias("d")
     )
+    parsed = docs.select("event_id", F.from_json("d", RAW_JSON_SCHEMA, {"mode": "FAILFAST"}).alias("d"))
+    spans = decode_docs(parsed.select("d.*"), canonical=False)
+    return spans.select(F.col("span_id").alias("event_id"), show_tags(F.col("tags")).alias("tag_text"))
 
 
 def merge_tag_fields(spark, sf_dir):
@@ -341,6 +400,14 @@ def _repeated_orders(spark, sf_dir):
     return repeated(spans_orders(spark, sf_dir))
 
 
+def _tied_orders(spark, sf_dir):
+    """Few ids, years for start times and short names: many spans of an id tie."""
+    return spans_orders(spark, sf_dir).selectExpr(
+        "trace_id", "span_id % 2 as span_id", "start_time div 31536000000000 as start_time",
+        "substr(service, 1, 6) as service", "tags", "refs",
+    )
+
+
 def trace_groups_query(spark, sf_dir):
     return trace_groups(_repeated_orders(spark, sf_dir))
 
@@ -455,6 +522,9 @@ def run_day_query(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "day_scan": day_scan,
+    "day_scan_late": day_scan_late,
+    "decode_rows": decode_rows_query,
+    "rejected_docs": rejected_docs_query,
     "range_scan": range_scan,
     "partition_names": partition_names,
     "source_fallback": source_fallback,
@@ -477,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "eligible_spans": eligible_spans_query,
     "leaf_spans": leaf_spans_query,
     "shared_links": lambda spark, sf: _kind_links(spans_orders(spark, sf), (SHARED,)),
+    "shared_ties": lambda spark, sf: _kind_links(_tied_orders(spark, sf), (SHARED,)),
     "parent_links": lambda spark, sf: _kind_links(spans_orders(spark, sf), (PARENT,)),
     "peer_links": lambda spark, sf: _kind_links(spans_orders(spark, sf), (PEER,)),
     "all_links": lambda spark, sf: _kind_links(_repeated_orders(spark, sf)),

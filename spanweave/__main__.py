@@ -24,6 +24,7 @@ def parse_args(argv: list[str] | None = None) -> DayJob:
     parser.add_argument("--label", default="spanweave")
     parser.add_argument("--mode", default="required")
     parser.add_argument("--closed", action="store_true", help="read the whole day, both ends")
+    parser.add_argument("--dt-window", type=int, nargs=2, help="days before and after whose dt folders are read")
     parser.add_argument("--range-hours", type=float, default=RANGE_MILLIS / 3_600_000, help="0 reads all")
     parser.add_argument("--span-base", default="span")
     parser.add_argument("--dependency-base", default="dependencies")
@@ -52,6 +53,7 @@ def parse_args(argv: list[str] | None = None) -> DayJob:
         now_millis=args.now_millis,
         mode=args.mode,
         closed=args.closed,
+        dt_window=tuple(args.dt_window) if args.dt_window else None,
     )
     return DayJob(
         args.source,

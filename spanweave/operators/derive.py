@@ -161,7 +161,7 @@ def _matched_links(facts: DataFrame) -> DataFrame:
 
 
 def _claims(narrow: DataFrame) -> DataFrame:
-    claim = "case when sides <> '' then array(struct(start_time, service, sides, digest)) end"
+    claim = "case when sides <> '' then array(struct(start_time, service, sides)) end"
     return (
         narrow.selectExpr("trace_id", "span_id", f"explode_outer({claim}) as claim")
         .filter("claim.sides is not null")

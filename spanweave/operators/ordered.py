@@ -1,7 +1,8 @@
 """First call of a shared span id, where the order of its spans decides.
 
-The rule is a scan: walk the spans of the id in order (start time, service, digest of the span), let every claim overwrite the last one of
-its end (also with an unknown service), and stop as soon as both ends are known.  A scan splits
+The rule is a scan: walk the spans of the id in order (start time, service, those that claim the calling end first before
+the others), let every claim overwrite the last one of its end (also with an unknown service), and stop as soon as both
+ends are known.  A scan splits
 into pieces: a piece is summed up by what it does when nothing, a calling service or a called
 service is already known, and neighbouring pieces combine to one of the same form.  So an id with
 any number of spans is folded piecewise by time, never as one list.
@@ -19,9 +20,6 @@ LIST_LIMIT = 1000
 # most 65536 pieces of the level below; the lowest at most 65536 instants of each service.
 PIECE_BITS = (16, 32, 48)
 
-# Tasks among which the claims of one id are spread while they are matched to their id.
-SHARDS = 16
-
 # Summary of a piece of the scan:
 #   parent, child    link found when nothing was known before the piece
 #   calling, called  service known after it in that case, if no link was found (at most one)
@@ -75,26 +73,13 @@ _FOLD = (
 def _instants(claims: DataFrame) -> DataFrame:
     """Claims of one service at one start time, as one piece.
 
-    All of them carry the same service, so all that matters is which end is claimed and which first:
-    by span digest, then by the order within the span.
+    All of them carry the same service, so all that matters is which end is claimed and which first: the calling end
+    where any of the spans claims it first.
     """
-
-    def first(end: str) -> str:
-        at = f"struct(digest, if(startswith(sides, '{end}'), 0, 1))"
-        return f"min(case when contains(sides, '{end}') then {at} end) as first_{end}"
-
-    ends = (
-        claims.groupBy(*ID, "ordered", "start_time", "service")
-        .agg(F.expr(first("c")), F.expr(first("s")))
-        .selectExpr(
-            *ID,
-            "ordered",
-            "start_time",
-            "service",
-            "first_c is not null as calling",
-            "first_s is not null as called",
-            "first_c is not null and coalesce(first_c <= first_s, true) as calling_first",
-        )
+    ends = claims.groupBy(*ID, "ordered", "start_time", "service").agg(
+        F.expr("bool_or(contains(sides, 'c')) as calling"),
+        F.expr("bool_or(contains(sides, 's')) as called"),
+        F.expr("bool_or(startswith(sides, 'c')) as calling_first"),
     )
     return ends.selectExpr(
         *ID,
@@ -118,14 +103,11 @@ def ordered_shared_links(
 ) -> DataFrame:
     """Shared links (parent, child, weight) of the ids in `ordered`.
 
-    claims   trace_id, span_id, start_time, service, sides, digest; of any id
+    claims   trace_id, span_id, start_time, service, sides; of any id
     ordered  trace_id, span_id and the number of claims of the id
     """
-    wanted = ordered.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(SHARDS - 1))))
-    spread = claims.withColumn(
-        "shard", F.pmod(F.xxhash64("start_time", "service", "digest"), F.lit(SHARDS)).cast("int")
-    )
-    instants = _instants(spread.join(wanted, [*ID, "shard"]))
+    # Plain exchanges on both sides: Spark splits an id with very many claims.
+    instants = _instants(claims.join(ordered, ID))
 
     whole = (
         instants.filter(F.col("ordered") <= list_limit)

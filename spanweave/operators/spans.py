@@ -86,11 +86,20 @@ def trace_groups(spans: DataFrame) -> DataFrame:
         F.min("start_time").alias("first_start"),
         F.max("start_time").alias("last_start"),
     )
-    return per_id.groupBy("trace_id").agg(
+    # Counted in two levels each; counting both distinctly at once would multiply the rows.
+    ids = per_id.groupBy("trace_id", "span_id").agg(
         F.sum("spans").alias("spans"),
         F.sum("distinct_spans").alias("distinct_spans"),
-        F.countDistinct("span_id").alias("span_ids"),
-        F.countDistinct("service").alias("services"),
         F.min("first_start").alias("first_start"),
         F.max("last_start").alias("last_start"),
     )
+    totals = ids.groupBy("trace_id").agg(
+        F.sum("spans").alias("spans"),
+        F.sum("distinct_spans").alias("distinct_spans"),
+        F.count("span_id").alias("span_ids"),
+        F.min("first_start").alias("first_start"),
+        F.max("last_start").alias("last_start"),
+    )
+    services = per_id.select("trace_id", "service").distinct().groupBy("trace_id").agg(F.count("service").alias("services"))
+    joined = totals.join(services, "trace_id")
+    return joined.select("trace_id", "spans", "distinct_spans", "span_ids", "services", "first_start", "last_start")

@@ -11,7 +11,7 @@ def trees(sizes: DataFrame, services: DataFrame, branching: int, chunk: int = 10
     """Random trees of bounded branching, as rows: tree_id, node, parent_node, service.
 
     sizes     tree_id and nodes, the number of nodes; a tree must have some
-    services  place and service, a short list; the root takes the first, other nodes any
+    services  place (from 0, without gaps) and service; the root takes the first, other nodes any
 
     Nodes are numbered breadth-first, so that node i hangs below (i - 1) div branching.  The pick is a
     digest of tree and node: runs repeat, and nothing depends on how rows are spread.  Large trees
@@ -33,18 +33,17 @@ def trees(sizes: DataFrame, services: DataFrame, branching: int, chunk: int = 10
             F.sequence("low", F.least(F.col("low") + (chunk - 1), F.col("nodes") - 1))
         ).alias("node"),
     )
-    names = services.agg(F.sort_array(F.collect_list(F.struct("place", "service")))).scalar()
+    count = services.agg(F.count("*")).scalar()
     pick = F.conv(F.left(F.md5(F.concat_ws("/", "tree_id", "node")), F.lit(8)), 16, 10).cast("bigint")
+    place = F.when(F.col("node") == 0, 0).otherwise(F.pmod(pick, count)).cast("bigint")
     return (
-        nodes.withColumn("names", names)
-        .withColumn(
-            "place", F.when(F.col("node") == 0, 0).otherwise(F.pmod(pick, F.size("names"))).cast("int")
-        )
+        nodes.withColumn("place", place)
+        .join(services.select(F.col("place").cast("bigint").alias("place"), "service"), "place")
         .select(
             "tree_id",
             "node",
             F.when(F.col("node") > 0, F.expr(f"(node - 1) div {branching}")).alias("parent_node"),
-            F.get("names", F.col("place"))["service"].alias("service"),
+            "service",
         )
     )
 

@@ -32,6 +32,7 @@ class ScanOptions:
     now_millis    the time `range_millis` counts from; the clock if not given
     mode          what happens to unreadable documents, see `spanweave.sources.decode`
     closed        include the first and last microsecond of the day (wide-row source)
+    dt_window     days before and after the day whose `dt` folders are read (wide-row source); None reads all
     """
 
     names: NameRule = field(default_factory=NameRule)
@@ -39,6 +40,7 @@ class ScanOptions:
     now_millis: int | None = None
     mode: str = "required"
     closed: bool = False
+    dt_window: tuple[int, int] | None = None
 
 
 @dataclass(frozen=True)
@@ -102,7 +104,8 @@ def _run_json_docs(spark: SparkSession, job: DayJob, day: dt.date) -> DataFrame:
 
 def _run_span_table(spark: SparkSession, job: DayJob, day: dt.date) -> DataFrame:
     """A record is stored also for a day without links."""
-    edges = _store_edges(spark, job, day, read_span_table(spark, job.input, day, job.scan.closed))
+    spans = read_span_table(spark, job.input, day, job.scan.closed, dt_window=job.scan.dt_window)
+    edges = _store_edges(spark, job, day, spans)
     layout = job.layout or sink_layout(spark, f"{job.output}/dependencies_v2")
     days = spark.range(1).select(F.lit(day).alias("dt"))
     rows = day_rows(_dated(edges, day), days, job.label, layout, job.parts)

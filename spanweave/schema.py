@@ -29,7 +29,7 @@ LEGACY_SPAN_SCHEMA = T.StructType(SPAN_SCHEMA.fields + [T.StructField("parent_id
 SPAN_KEY = SPAN_SCHEMA.fieldNames()
 
 # Search-store documents, as written by the tracing backend.  `startTime` is read as text, so that
-# both a JSON number and a quoted number are accepted.
+# both a JSON number and a quoted number are accepted; a tag's value may be of any JSON type.
 RAW_JSON_SCHEMA = T.StructType(
     [
         T.StructField("traceID", T.StringType()),
@@ -45,7 +45,7 @@ RAW_JSON_SCHEMA = T.StructType(
                     [
                         T.StructField("key", T.StringType()),
                         T.StructField("type", T.StringType()),
-                        T.StructField("value", T.StringType()),
+                        T.StructField("value", T.VariantType()),
                     ]
                 )
             ),
@@ -57,6 +57,9 @@ RAW_JSON_SCHEMA = T.StructType(
     ]
 )
 
+# Column that permissive reading adds: the line, where it or one of its fields could not be parsed.
+CORRUPT = "_corrupt_record"
+
 # Edge table: the result of a run.
 EDGE_SCHEMA = T.StructType(
     [

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -33,3 +34,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there.  A name that the file system refuses is not."""
+    try:
+        spark.read.text(path)
+    except IllegalArgumentException:
+        return False
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True

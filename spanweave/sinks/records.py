@@ -5,11 +5,11 @@ The number of parts is the job's choice and never depends on the edges: a day ha
 record carries `part` and `parts`, and (day, part) is its key.  The edge table is the output without a bound on size.
 """
 
-from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.functions.days import day_millis, day_text
+from spanweave.shared import exists
 
 PARTS = 1
 LAYOUTS = ("v2", "v1")
@@ -55,19 +55,6 @@ def day_rows(
     )
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether the folder is there.  A name that the file system refuses is not."""
-    try:
-        spark.read.text(path)
-    except IllegalArgumentException:
-        return False
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
-
-
 def sink_layout(spark: SparkSession, path_v2: str) -> str:
     """v2 where the v2 table is in its place already, else v1."""
     return "v2" if exists(spark, path_v2) else "v1"

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanweave.functions.days import in_day
-from spanweave.schema import LEGACY_SPAN_SCHEMA, RAW_JSON_SCHEMA, SPAN_SCHEMA
-from spanweave.sources.decode import decode_docs
+from spanweave.schema import CORRUPT, LEGACY_SPAN_SCHEMA, RAW_JSON_SCHEMA, SPAN_SCHEMA
+from spanweave.shared import exists
+from spanweave.sources.decode import decode_docs, decode_rows
 
 RANGE_MILLIS = 24 * 3600 * 1000
 
@@ -27,6 +28,11 @@ def or_empty(read: Callable[[], DataFrame], spark: SparkSession, schema: T.Struc
         return spark.createDataFrame([], schema)
 
 
+def _folders(spark: SparkSession, path: str, day: dt.date, window: tuple[int, int]) -> list[str]:
+    days = [day + dt.timedelta(days=n) for n in range(-window[0], window[1] + 1)]
+    return [f for f in (f"{path}/dt={d.isoformat()}" for d in days) if exists(spark, f)]
+
+
 def read_span_table(
     spark: SparkSession,
     path: str,
@@ -34,30 +40,36 @@ def read_span_table(
     closed: bool = False,
     legacy_parent: bool = True,
     fmt: str = "parquet",
+    dt_window: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Spans of a wide-row table, of one day if given.
+    """Spans of a wide-row table (see `decode_rows`), of one day if given.
 
-    The day becomes plain bounds on start_time, which the file reader gets as pushed filters; where
-    the table is partitioned by `dt`, other days' folders are not listed at all.  `legacy_parent`
-    keeps the parent id, to be appended to the references.
+    The day becomes plain bounds on start_time, which the file reader gets as pushed filters.  Where the table is
+    partitioned by `dt`, dt_window (days before, days after) says how far a span's folder may be from its own day: only
+    those folders are listed and read.  Without it all are, since `dt` may be a span's date of arrival.
+    `legacy_parent` keeps the parent id, to be appended to the references.
     """
     schema = LEGACY_SPAN_SCHEMA if legacy_parent else SPAN_SCHEMA
-    spans = or_empty(lambda: spark.read.schema(schema).format(fmt).load(path), spark, schema)
+    reader = spark.read.format(fmt)
+    if dt_window is not None and day is not None:
+        folders = _folders(spark, path, day, dt_window)
+        if not folders:
+            return spark.createDataFrame([], schema)
+        rows = reader.option("basePath", path).load(folders)
+    else:
+        rows = or_empty(lambda: reader.load(path), spark, LEGACY_SPAN_SCHEMA)
     if day is not None:
-        if "dt" in spans.columns:
-            spans = spans.filter(F.col("dt").cast("date") == F.lit(day))
-        spans = spans.filter(in_day(F.col("start_time"), day, closed))
-    return spans.select(*schema.fieldNames())
+        rows = rows.filter(in_day(F.col("start_time"), day, closed))
+    return decode_rows(rows).select(*schema.fieldNames())
 
 
 def read_docs(spark: SparkSession, path: str, mode: str = "required") -> DataFrame:
     """Raw documents, one JSON object per line; unknown fields are ignored."""
-    reader = "PERMISSIVE" if mode == "permissive" else "FAILFAST"
-    return or_empty(
-        lambda: spark.read.schema(RAW_JSON_SCHEMA).option("mode", reader).json(path),
-        spark,
-        RAW_JSON_SCHEMA,
-    )
+    schema, reader = RAW_JSON_SCHEMA, "FAILFAST"
+    if mode == "permissive":
+        schema, reader = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]), "PERMISSIVE"
+    read = spark.read.schema(schema).option("mode", reader).option("columnNameOfCorruptRecord", CORRUPT)
+    return or_empty(lambda: read.json(path), spark, schema)
 
 
 def in_range(now_millis: int | None, range_millis: int | None):

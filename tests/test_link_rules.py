@@ -154,9 +154,16 @@ def test_spans_differing_in_any_tag_are_two_calls(spark):
 
 
 def test_same_time_and_service_claims(spark):
-    """Ordered by digest: whichever comes first, both ends are claimed by one service."""
+    """The calling end is claimed first, whatever the other tags say."""
     spans = [span(1, "a", kind("client")), span(1, "a", ("x", "server")), span(1, "a", kind("server"))]
     check(spark, spans, {("shared", "a", "a"): 1})
+    for value in "0123":
+        spans = [
+            span(1, "a", kind("client"), start=1),
+            span(1, "b", kind("server"), start=2),
+            span(1, "b", kind("client"), ("x", value), start=2),
+        ]
+        check(spark, spans, {("shared", "b", "b"): 1})
 
 
 def test_walk_agrees_on_fan_out(spark):

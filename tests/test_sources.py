@@ -90,7 +90,7 @@ def test_flawed_documents(spark, tmp_path, bad, reason):
     with pytest.raises(Exception, match=reason):
         read(spark, path).collect()
     assert read(spark, path, mode="permissive").count() == 1
-    assert [r.flaw for r in rejected_docs(read_docs(spark, path)).collect()] == [reason]
+    assert [r.flaw for r in rejected_docs(read_docs(spark, path, "permissive")).collect()] == [reason]
 
 
 def test_unknown_mode(spark, tmp_path):
@@ -124,9 +124,60 @@ def test_day_folders_are_pruned(spark, tmp_path):
     start = day_start_micros(DAY) + 1
     days = frame(spark, [span(1, "a", start=start), span(2, "b", start=start + DAY_MICROS)])
     days.withColumn("dt", F.to_date(F.timestamp_micros("start_time"))).write.partitionBy("dt").parquet(path)
-    day = read_span_table(spark, path, DAY, legacy_parent=False)
-    assert [r.service for r in day.collect()] == ["a"]
-    assert "PartitionFilters: [isnotnull(dt" in day._jdf.queryExecution().executedPlan().toString()
+    for window in (None, (0, 0), (1, 1)):
+        day = read_span_table(spark, path, DAY, legacy_parent=False, dt_window=window)
+        assert [r.service for r in day.collect()] == ["a"]
+    one = read_span_table(spark, path, DAY, dt_window=(0, 0))
+    assert {f.split("/")[-2] for f in one.inputFiles()} == {"dt=2024-01-15"}
+    assert read_span_table(spark, path, DAY - dt.timedelta(9), dt_window=(1, 1)).count() == 0
+
+
+def test_late_spans_are_found(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = frame(spark, [span(1, "a", start=day_start_micros(DAY) + 1)])
+    days.withColumn("dt", F.lit("2024-01-16")).write.partitionBy("dt").parquet(path)
+    assert read_span_table(spark, path, DAY).count() == 1
+    assert read_span_table(spark, path, DAY, dt_window=(0, 1)).count() == 1
+    assert read_span_table(spark, path, DAY, dt_window=(0, 0)).count() == 0
+
+
+def test_nested_rows(spark, tmp_path):
+    rows = spark.sql(
+        "select X'0AFF' trace_id, 2L span_id, 3L start_time, named_struct('service_name', 'web', 'tags', 0) process,"
+        " array(named_struct('key', 'k', 'value_type', 'string', 'value_string', 'v', 'value_long', 0L)) tags,"
+        " array(named_struct('ref_type', 'x', 'trace_id', X'00', 'span_id', 1L)) refs"
+    )
+    rows.write.parquet(str(tmp_path / "t"))
+    row = read_span_table(spark, str(tmp_path / "t")).first()
+    assert (row.trace_id, row.span_id, row.service, row.refs, row.parent_id) == ("0aff", 2, "web", [1], None)
+    assert [tuple(t) for t in row.tags] == [("k", "string", "v")]
+
+
+def test_incomplete_tables_raise(spark, tmp_path):
+    full = frame(spark, [span(1, "a")])
+    for column in ("service", "tags", "span_id"):
+        full.drop(column).write.parquet(str(tmp_path / column))
+        with pytest.raises(ValueError, match=column):
+            read_span_table(spark, str(tmp_path / column))
+    full.withColumn("span_id", F.lit(None).cast("bigint")).write.parquet(str(tmp_path / "null"))
+    with pytest.raises(Exception, match="a span has no span_id"):
+        read_span_table(spark, str(tmp_path / "null")).collect()
+
+
+def test_rejects_come_with_their_text(spark, tmp_path):
+    lines = ['{"broken', '{"traceID":"1","spanID":"1","tags":"x"}', '{"traceID":"1"}', '{"traceID":"1","spanID":"1"}']
+    (tmp_path / "docs.json").write_text("\n".join(lines) + "\n")
+    raw = read_docs(spark, str(tmp_path), "permissive")
+    assert sorted(r.text for r in rejected_docs(raw).collect()) == sorted(lines[:3])
+    assert read(spark, str(tmp_path), mode="permissive").count() == 1
+    with pytest.raises(Exception):
+        read(spark, str(tmp_path)).collect()
+
+
+def test_nested_values_are_no_text(spark, tmp_path):
+    values = [{"a": 1}, [1], None, 3, True, "s"]
+    path = docs(spark, tmp_path, without("tag", tags=[{"key": str(i), "type": "string", "value": v} for i, v in enumerate(values)]))
+    assert [t.value for t in read(spark, path).first().tags] == [None, None, None, "3", "true", "s"]
 
 
 def test_missing_source_is_empty(spark, tmp_path):
