@@ -26,8 +26,9 @@ from spanweave.shared import new_folder, written
 
 END = 0
 BLOCK = 1 << 20
-REMEMBERED = 400_000
-CHUNK = 1 << 20
+REMEMBERED = 150_000  # words a task remembers, and as many from before
+CHUNK = 1 << 19  # characters taken at once
+BATCH = 2048  # words the tokenizer is given at once
 
 _TOKENS = "part int, place long, id {id}, n long, ids binary"
 _BLOCK = (
@@ -54,8 +55,11 @@ class Words:
         self.older: dict[str, bytes] = {}
 
     def plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        out: list[bytes] = []
+        for at in range(0, len(texts), BATCH):
+            found = self.tokenizer.encode_batch_fast(texts[at : at + BATCH], add_special_tokens=False)
+            out += [np.array(e.ids, "<u4").tobytes() for e in found]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [[] if self.odd.search(t) else t.split(" ") for t in texts]
