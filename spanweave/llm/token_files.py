@@ -11,6 +11,7 @@ belong to) and documents (part, place, id, offset, n).  A document longer than a
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,30 +38,64 @@ _BLOCK = (
 )
 
 
+def _byte_alphabet() -> list[str]:
+    """The character that byte-level BPE writes for each byte: itself if it is visible, else the next one from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b if b in visible else next(hidden)) for b in range(256)]
+
+
 class Words:
     """A byte-level BPE tokenizer that remembers the ids of words behind a space.
 
     Where a space stands between two characters that are no white space, the tokenizer always starts anew: a text without
-    other spaces can be put together from its words.  Other texts go to it whole.
+    other spaces can be put together from its words.  So does it between letters and an ASCII character that is none: a
+    word's letters go to the tokenizer's merge model as they are, the rest goes to the tokenizer.  Other texts go to it whole.
     """
 
     odd = re.compile(r" (?:\s|$)")
+    letters = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+(?=[\x00-@\\[-`{-\x7f]|$)")
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+        self.alphabet = _byte_alphabet()
+        self.space = self.alphabet[32]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+        self.rests: dict[str, bytes] = {}
 
     def plain(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for at in range(0, len(texts), BATCH):
             found = self.tokenizer.encode_batch_fast(texts[at : at + BATCH], add_special_tokens=False)
-            out += [np.array(e.ids, "<u4").tobytes() for e in found]
+            out += [array("I", e.ids).tobytes() for e in found]
         return out
 
+    def core(self, word: str) -> bytes:
+        found = self.cores.get(word)
+        if found is None:
+            text = word if word.isascii() else "".join([self.alphabet[b] for b in word.encode()])
+            found = array("I", [t.id for t in self.model.tokenize(self.space + text)]).tobytes()
+            if len(self.cores) >= 2 * REMEMBERED:
+                self.cores.clear()
+            self.cores[word] = found
+        return found
+
+    def behind_space(self, words: list[str]) -> list[bytes]:
+        cut = [self.letters.match(w) for w in words]
+        rests = [w[m.end() :] if m else " " + w for w, m in zip(words, cut, strict=True)]
+        new = list({r for r in rests if r and r not in self.rests})
+        if len(self.rests) + len(new) > REMEMBERED:
+            self.rests, new = {}, list({r for r in rests if r})
+        self.rests.update(zip(new, self.plain(new), strict=True))
+        self.rests[""] = b""
+        return [(self.core(m[0]) if m else b"") + self.rests[r] for m, r in zip(cut, rests, strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [[] if self.odd.search(t) else t.split(" ") for t in texts]
         firsts = self.plain([c[0] if c else t for c, t in zip(cut, texts, strict=True)])
@@ -75,7 +110,7 @@ class Words:
             known.update((w, self.older[w]) for w in new if w in self.older)
             new = new.difference(known)
         fresh = list(new)
-        known.update(zip(fresh, self.plain([" " + w for w in fresh]), strict=True))
+        known.update(zip(fresh, self.behind_space(fresh), strict=True))
         return [first + b"".join(map(known.__getitem__, words[1:])) for first, words in zip(firsts, cut, strict=True)]
 
 

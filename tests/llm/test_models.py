@@ -156,7 +156,7 @@ def test_token_files_against_the_tokenizer(spark, sf, tmp_path, monkeypatch, blo
         tokenizer = file.read()
     words = token_files.Words(tokenizer)
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    more = spark.createDataFrame([(1000 + i, t) for i, t in enumerate([None, *ODD, "it's 'tis <|endoftext|> x"])], docs.schema)
+    more = spark.createDataFrame([(1000 + i, t) for i, t in enumerate([None, *ODD, "it's 'tis <|endoftext|> x", "été's naïve²x ½a x½ don't (see) +1 é́x āb ﬁ Ⅳ ʼn"])], docs.schema)
     docs = docs.unionByName(more)
     token_files.write_token_files(docs, str(tmp_path / "t"), tokenizer)
     found = {r.doc_id: r for r in token_files.read_token_files(spark, str(tmp_path / "t")).collect()}
