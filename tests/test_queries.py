@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import compare, duck
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,7 +12,7 @@ def con(sf):
     return duck(sf)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, con, sf, name):
     assert name in oracle_sql()
     assert compare(spark, con, name, sf) == ""
