@@ -3,7 +3,8 @@
 Two generative models over hashed n-grams (words and marks, one and two at a time, BUCKETS buckets): one of target text,
 the documents labelled good, and one of the raw text, which is all documents.  A document's weight is the ratio of its
 probabilities under the two; a sample without replacement by these weights is the k largest of log weight + Gumbel noise.
-As many documents are taken as the target model explains at least as well as the raw one.
+As many documents are taken as the target model explains at least as well as the raw one, or as the labels call good,
+whichever are more: with few labels the first would follow their chance mixture of languages.
 
 The raw counts come from every document.  The target's come from FIT_ROWS labelled ones at most, whose ids are few
 enough to be sent to all tasks; the counts themselves have BUCKETS rows whatever the input.
@@ -24,7 +25,7 @@ from spanweave.shared import written
 
 BUCKETS = 10_000
 FIT_ROWS = 20_000
-SMOOTHING = 1.0
+SMOOTHING = 100.0  # n-grams a bucket
 SEED = "resample"
 BINS = 4096
 
@@ -72,10 +73,9 @@ def fit(
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for row in sums:
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
-    if not target.sum():
-        return np.zeros(BUCKETS)
-    share = lambda c: np.log((c + SMOOTHING) / (c.sum() + SMOOTHING * BUCKETS))
-    return share(target) - share(raw)
+    # The target model is drawn towards the raw one where it has seen little: a bucket's noise adds up over a text.
+    expected = raw * (target.sum() / max(raw.sum(), 1.0))
+    return np.log((target + SMOOTHING) / (expected + SMOOTHING))
 
 
 def log_weight(ratios: np.ndarray, text: str | Column) -> Column:
@@ -130,7 +130,9 @@ def resample_scores(
     ratios = fit(docs, labels, id_col, text_col)
     scores = docs.select(F.col(id_col).alias("id"), log_weight(ratios, text_col).alias("log_weight"))
     scores = written(scores.withColumn("key", F.col("log_weight") + gumbel("id", seed)), "weights")
-    k = scores.filter("log_weight >= 0").count()
+    n, explained = scores.agg(F.count("*"), F.count_if(F.col("log_weight") >= 0)).first()
+    share = labels.filter("quality IN (0, 1)").agg(F.avg("quality")).first()[0]
+    k = max(explained, round(n * (1.0 if share is None else share)))
     return scores, ratios, kth_largest(scores, "key", k) if k else float("inf")
 
 

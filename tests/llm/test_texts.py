@@ -120,7 +120,7 @@ def test_classifier_on_held_out_labels(spark):
     found = importance.classify(docs, known).join(labels.filter("doc_id % 2 = 1"), "doc_id").collect()
     good = [r.kept for r in found if r.quality == 1]
     bad = [r.kept for r in found if r.quality == 0]
-    assert np.mean(good) > 0.95 and np.mean(bad) < 0.2
+    assert np.mean(good) > 0.9 and np.mean(bad) < 0.25
     kept = {r.doc_id for r in importance.classify(docs, known).filter("kept").collect()}
     assert kept == {r.doc_id for r in importance.resample(docs, known).collect()}
 
