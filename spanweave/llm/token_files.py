@@ -11,8 +11,9 @@ belong to) and documents (part, place, id, offset, n).  A document longer than a
 from __future__ import annotations
 
 import re
+import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from spanweave.shared import new_folder, written
 
 END = 0
 BLOCK = 1 << 20
-REMEMBERED = 150_000  # words a task remembers, and as many from before
+REMEMBERED = 100_000  # words a task remembers, and as many from before
 CHUNK = 1 << 19  # characters taken at once
 BATCH = 2048  # words the tokenizer is given at once
 
@@ -238,8 +239,11 @@ def _frequencies(spark: SparkSession, path: str) -> ans.Frequencies:
     return ans.Frequencies(counts)
 
 
-def decode_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """(part, place, block, ids array<int>): the ids of every document, in a row per block that it runs over."""
+def _decoded(
+    spark: SparkSession, path: str, schema: str, columns: Callable[[np.ndarray, np.ndarray], list[pa.Array]]
+) -> DataFrame:
+    """(part, place, block, ...): a row per document and block that it runs over; columns makes the rest from a block's
+    ids and where its documents end."""
     table = _frequencies(spark, path)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,21 +252,27 @@ def decode_blocks(spark: SparkSession, path: str) -> DataFrame:
                 row = {n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names)}
                 block = ans.Block(row["n"], row["lanes"], row["words"], row["states"], row["places"], row["crcs"])
                 ids, sizes = ans.decode(block, table), np.frombuffer(row["pieces"], "<u4")
-                ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
-                columns = [
+                ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+                keys = [
                     pa.array(np.full(len(sizes), row["part"], np.int32)),
                     pa.array(row["first_place"] + np.arange(len(sizes), dtype=np.int64)),
                     pa.array(np.full(len(sizes), row["block"])),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.view(np.int32))),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["part", "place", "block", "ids"])
+                names = ["part", "place", "block", *(c.split()[0] for c in schema.split(", "))]
+                yield pa.RecordBatch.from_arrays(keys + columns(ids, ends), names)
 
-    return spark.read.parquet(f"{path}/blocks").mapInArrow(unpack, "part int, place long, block long, ids array<int>")
+    return spark.read.parquet(f"{path}/blocks").mapInArrow(unpack, f"part int, place long, block long, {schema}")
 
 
-@F.arrow_udf(T.LongType())
-def _crc_of(ids: pa.Array) -> pa.Array:
-    return pa.array([ans.crc(x.values.to_numpy(zero_copy_only=False)) for x in ids], pa.int64())
+def decode_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """(part, place, block, ids array<int>): the ids of every document, in a row per block that it runs over."""
+    ids_of = lambda ids, ends: [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32)))]
+    return _decoded(spark, path, "ids array<int>", ids_of)
+
+
+def _checksums(ids: np.ndarray, ends: np.ndarray) -> list[pa.Array]:
+    octets, cuts = memoryview(ids.astype("<u4").tobytes()), (ends * 4).tolist()
+    return [pa.array(np.diff(ends)), pa.array([zlib.crc32(octets[a:b]) for a, b in zip(cuts[:-1], cuts[1:])], pa.int64())]
 
 
 @F.arrow_udf(T.LongType())
@@ -282,7 +292,7 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
     A null or empty text is the end id alone.  Documents are in ascending order of their ids, null first, those that
     repeat an id in the order of a hash of their texts.  No documents, no rows.
     """
-    pieces = decode_blocks(spark, path).select("part", "place", "block", F.size("ids").cast("long").alias("n"), _crc_of("ids").alias("crc"))
+    pieces = _decoded(spark, path, "n long, crc long", _checksums)
     whole_docs = pieces.groupBy("part", "place").agg(
         F.sum("n").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("block", "n", "crc"))).alias("pieces")
     )

@@ -168,6 +168,8 @@ def test_token_files_against_the_tokenizer(spark, sf, tmp_path, monkeypatch, blo
         assert (own.start, own.n_tokens, own.ids_crc32) == (start, len(ids), crc)
         start += len(ids)
     assert len(found) == docs.count()
+    decoded = token_files.decode_blocks(spark, str(tmp_path / "t"))
+    assert decoded.agg(F.sum(F.size("ids"))).first()[0] == start
 
 
 def test_token_files_of_odd_rows(spark, tmp_path):
