@@ -26,10 +26,10 @@ from pyspark.sql import types as T
 from spanweave.llm.hashing import scramble
 
 MARK = "▁"
-REMEMBERED = 250_000  # stretches a task remembers
+REMEMBERED = 180_000  # stretches a task remembers, and as many from before
 LONGEST_REMEMBERED = 48
 LANES = 8192
-CHUNK = 1 << 20  # characters or ids taken at once
+CHUNK = 1 << 19  # characters or ids taken at once
 
 _BASE = 0x9E3779B97F4A7C15
 
