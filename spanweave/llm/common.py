@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_BYTES = str(8 << 20)
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -13,6 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, in a session whose Python workers get BATCH_BYTES at once: with long texts Spark's default takes much memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have (names differ in more than case)."""
     taken = {c.lower() for c in df.columns}

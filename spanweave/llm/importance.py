@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import bits60, fresh
+from spanweave.llm.common import bits60, fresh, in_small_batches
 from spanweave.llm.hashing import BY_KIND, scramble, text_chunks, token_hashes, windows
 from spanweave.shared import written
 
@@ -64,7 +64,7 @@ def fit(
     """
     good = labels.filter("quality = 1 AND " + f"`{id_col}` IS NOT NULL").select(F.col(id_col).alias("_good")).distinct()
     good = good.orderBy(bits60(F.concat_ws(":", F.lit(SEED), "_good")), "_good").limit(fit_rows)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    rows = in_small_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     marked = rows.join(F.broadcast(good), F.col("_id") == F.col("_good"), "left")
     counted = marked.select("text", F.col("_good").isNotNull().alias("good")).mapInArrow(
         _count, "bucket long, raw long, target long"

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import whole
+from spanweave.llm.common import in_small_batches, whole
 from spanweave.llm.hashing import scramble, text_chunks, token_hashes
 from spanweave.shared import written
 
@@ -63,7 +63,7 @@ _TEXT_BLOCK = "block long, ids array<{id}>, train binary, starts binary, words b
 def text_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents as blocks of numbered words: begin, words and end of each, and whether it trains."""
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % FOLDS
-    rows = docs.select(F.col(id_col).alias("id"), whole(text_col).cast("binary").alias("text"), (fold != HELD_OUT).alias("train"))
+    rows = in_small_batches(docs).select(F.col(id_col).alias("id"), whole(text_col).cast("binary").alias("text"), (fold != HELD_OUT).alias("train"))
     schema = _TEXT_BLOCK.format(id=dict(rows.dtypes)["id"])
     names = [c.split()[0] for c in schema.split(", ")]
 

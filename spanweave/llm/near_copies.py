@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanweave.llm.common import fresh
+from spanweave.llm.common import fresh, in_small_batches
 from spanweave.llm.exact_copies import cells_of, flag_repeated
 from spanweave.llm.graph import components
 from spanweave.llm.hashing import scramble, text_chunks, token_hashes, windows
@@ -237,7 +237,7 @@ def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    texts = in_small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     id_type = dict(texts.dtypes)["id"]
     sketches = written(texts.mapInArrow(_sketch_batches, f"id {id_type}, class long, size long, bands array<long>, bits array<long>"), "sketches")
     labels = class_links(docs, sketches, id_col, text_col)

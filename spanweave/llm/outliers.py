@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanweave.llm.common import in_small_batches
 from spanweave.shared import written
 
 MIN_WORDS = 20
@@ -97,7 +98,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """(id, grp, COUNTS), a row per document; grp names its language and source, null unlike empty."""
     part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null"))
-    rows = docs.select(
+    rows = in_small_batches(docs).select(
         F.col(id_col).alias("id"),
         F.to_json(F.array(part(lang_col), part(source_col))).alias("grp"),
         F.col(text_col).cast("binary").alias("text"),

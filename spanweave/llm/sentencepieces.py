@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanweave.llm.common import in_small_batches
 from spanweave.llm.hashing import scramble
 
 MARK = "▁"
@@ -358,7 +359,7 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str =
     def ids_of(texts: pa.Array) -> pa.Array:
         return encode_texts(texts, _memory(model))
 
-    return docs.withColumn(ids_col, ids_of(text_col))
+    return in_small_batches(docs).withColumn(ids_col, ids_of(text_col))
 
 
 def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanweave.llm import ans
-from spanweave.llm.common import whole
+from spanweave.llm.common import in_small_batches, whole
 from spanweave.shared import new_folder, written
 
 END = 0
@@ -139,7 +139,7 @@ def _chunks(texts: pa.Array) -> Iterator[list[str]]:
 
 def tokenise(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(part, place, id, n, ids): documents in order within range partitions, ids with the end id as 16- or 32-bit numbers."""
-    rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
+    rows = in_small_batches(docs).select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
     end = np.array([END], "<u4").tobytes()
 
