@@ -27,7 +27,7 @@ from spanweave.llm.common import in_small_batches
 from spanweave.llm.hashing import scramble
 
 MARK = "▁"
-REMEMBERED = 180_000  # stretches a task remembers, and as many from before
+REMEMBERED = 80_000  # stretches a task remembers, and as many from before
 LONGEST_REMEMBERED = 48
 LANES = 8192
 CHUNK = 1 << 19  # characters or ids taken at once
