@@ -1,13 +1,15 @@
 """Quality rules by robust multivariate outliers.
 
 A document is a vector of transformed statistics.  Per language and source, the minimum covariance determinant (MCD)
-gives a centre and covariance that bad documents do not pull along: starting from medians and quartiles, concentration
-steps take the mean and covariance of the share H of documents nearest so far, until the determinant stops falling.
+gives a centre and covariance that bad documents do not pull along: from several starts, concentration steps take the
+mean and covariance of the share H of documents nearest so far, until the determinant stops falling; the start that ends
+with the smallest determinant counts.  Documents with equal vectors (copies) count once there, and all are judged.
 A document is rejected when its squared Mahalanobis distance passes CUTOFF.
 
 The statistics come from one pass over the texts; the steps run on the narrow vectors.  A step is two aggregations per
-group, combined before the shuffle: a histogram of log distances, whose bin with the H-quantile bounds the nearest
-documents, then their sums and products.  A group's parameters are one row.
+group and start, combined before the shuffle: a histogram of log distances, whose bin with the H-quantile bounds the
+nearest documents and counts with the share that makes up H, then their sums and products.  A group's parameters are one
+row per start.
 """
 
 from __future__ import annotations
@@ -25,11 +27,13 @@ from spanweave.shared import written
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-H = 0.75
+H = 0.5
 STEPS = 10
 CUTOFF = 50.0
 # Mean of a share H of a chi-square with 5 degrees of freedom, against 5: makes the covariance of the nearest ones that of all.
-CONSISTENCY = 1.42
+CONSISTENCY = 1.91
+DRAWN = 4  # starts around a vector drawn by hash, besides those at the medians and in the middle of the shortest halves
+SLICES = 32  # quantiles between which the shortest half of a statistic is looked for
 PRIOR_ROWS = 20  # so many documents' weight have the spreads below: what a small group is judged by
 #: log words, log word length, share of symbols, of repeated lines and of repeated words (square roots).
 PRIOR_SPREADS = (1.0, 0.15, 0.03, 0.25, 0.2)
@@ -119,14 +123,15 @@ def _vector() -> list[Column]:
 
 
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
-_PARAMETERS = "grp string, det double, " + ", ".join([f"m{i} double" for i in range(P)] + [f"w{i}{j} double" for i, j in PAIRS])
+ESTIMATES = ["det"] + [f"m{i}" for i in range(P)] + [f"w{i}{j}" for i, j in PAIRS]
+_PARAMETERS = "grp string, start int, " + ", ".join(f"{c} double" for c in ESTIMATES)
 
 
 def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A group's sums, a row each, into its centre and inverse covariance."""
+    """The sums of a group and start, a row each, into its centre and inverse covariance."""
     prior, least = np.diag(np.square(PRIOR_SPREADS)), np.diag(np.square(LEAST_SPREADS))
     for batch in batches:
-        t = {n: batch.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(batch.schema.names) if n != "grp"}
+        t = {n: batch.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(batch.schema.names) if n not in ("grp", "start")}
         n = t["n"].astype(float)
         mean = np.stack([t[f"s{i}"] for i in range(P)], 1) / n[:, None]
         cov = np.empty((len(n), P, P))
@@ -134,7 +139,7 @@ def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cov[:, i, j] = cov[:, j, i] = t[f"q{i}{j}"] - n * mean[:, i] * mean[:, j]
         cov = (cov * CONSISTENCY + PRIOR_ROWS * prior) / (n + PRIOR_ROWS)[:, None, None] + least
         inverse, det = np.linalg.inv(cov), np.linalg.det(cov)
-        columns = [batch.column(batch.schema.names.index("grp")), pa.array(det)]
+        columns = [batch.column(batch.schema.names.index(c)) for c in ("grp", "start")] + [pa.array(det)]
         columns += [pa.array(np.ascontiguousarray(mean[:, i])) for i in range(P)]
         columns += [pa.array(np.ascontiguousarray(inverse[:, i, j]) * (1 if i == j else 2)) for i, j in PAIRS]
         yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _PARAMETERS.split(", ")])
@@ -147,34 +152,62 @@ def _distance() -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
+def _starts(vectors: DataFrame) -> DataFrame:
+    """(grp, start, ESTIMATES): medians with quartiles, the middles of the shortest halves, and DRAWN vectors with the widths of those."""
+    x = [F.col(f"x{i}") for i in range(P)]
+    slices = [F.percentile_approx(x[i], [j / SLICES for j in range(SLICES + 1)], 1000).alias(f"p{i}") for i in range(P)]
+    drawn = [F.min_by(F.struct(*x), F.xxhash64(F.lit(k), *x)).alias(f"drawn{k}") for k in range(DRAWN)]
+    found = vectors.groupBy("grp").agg(*slices, *drawn)
+
+    def half(i: int) -> Column:
+        p = lambda j: F.get(f"p{i}", j)
+        ends = lambda j: F.struct((p(j + SLICES // 2) - p(j)).alias("width"), ((p(j + SLICES // 2) + p(j)) / 2).alias("middle"))
+        return F.array_min(F.transform(F.sequence(F.lit(0), F.lit(SLICES // 2)), ends)).alias(f"half{i}")
+
+    found = found.select("*", *(half(i) for i in range(P)))
+    # Half of a normal distribution is within 1.349 spreads.
+    spread = lambda width, i: F.greatest(width / 1.349, F.lit(LEAST_SPREADS[i]))
+    halves = [spread(F.col(f"half{i}.width"), i) for i in range(P)]
+    quartiles = [spread(F.get(f"p{i}", F.lit(SLICES * 3 // 4)) - F.get(f"p{i}", F.lit(SLICES // 4)), i) for i in range(P)]
+    medians = [F.get(f"p{i}", F.lit(SLICES // 2)) for i in range(P)]
+    starts = [(medians, quartiles), ([F.col(f"half{i}.middle") for i in range(P)], halves)]
+    starts += [([F.col(f"drawn{k}.x{i}") for i in range(P)], halves) for k in range(DRAWN)]
+    rows = []
+    for k, (middle, width) in enumerate(starts):
+        inverse = [(1 / (width[i] * width[i]) if i == j else F.lit(0.0)) for i, j in PAIRS]
+        values = [F.lit(float("inf")), *middle, *inverse]
+        rows.append(F.struct(F.lit(k).alias("start"), *(v.alias(c) for v, c in zip(values, ESTIMATES))))
+    return found.select("grp", F.inline(F.array(*rows)))
+
+
 def robust_estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
     """vectors: (grp, x0..x4) -> the parameters of each group: centre m, inverse covariance w (off the diagonal doubled)."""
-    quartiles = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"p{i}") for i in range(P)]
-    start = vectors.groupBy("grp").agg(*quartiles)
-    spread = [F.greatest((F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349, F.lit(LEAST_SPREADS[i])) for i in range(P)]
-    parameters = start.select(
-        "grp", F.lit(float("inf")).alias("det"), *(F.col(f"p{i}")[1].alias(f"m{i}") for i in range(P)),
-        *((1 / (spread[i] * spread[i]) if i == j else F.lit(0.0)).alias(f"w{i}{j}") for i, j in PAIRS),
-    )
-    parameters = written(parameters, "estimates")
+    vectors = written(vectors.select("grp", *(f"x{i}" for i in range(P))).distinct(), "vectors")
+    parameters = written(_starts(vectors).withColumn("moving", F.lit(True)), "estimates")
+    run = ["grp", "start"]
     for _ in range(steps):
         # From about e^-12 up: below that all are one bin.
-        near = vectors.join(parameters, "grp").withColumn("bin", F.floor(F.log(_distance() + 6e-6) * BINS).cast("int"))
-        bins = near.groupBy("grp", "bin").agg(F.count("*").alias("n"))
-        up_to = Window.partitionBy("grp").orderBy("bin")
-        counted = bins.withColumns({"upto": F.sum("n").over(up_to), "all": F.sum("n").over(Window.partitionBy("grp"))})
-        last = written(counted.filter(F.col("upto") >= H * F.col("all")).groupBy("grp").agg(F.min("bin").alias("last")), "bins")
-        nearest = near.join(last, "grp").filter("bin <= last")
-        sums = nearest.groupBy("grp").agg(
-            F.count("*").alias("n"), *(F.sum(f"x{i}").alias(f"s{i}") for i in range(P)),
-            *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}{j}") for i, j in PAIRS),
+        moving = parameters.filter("moving")
+        near = vectors.join(moving, "grp").withColumn("bin", F.floor(F.log(_distance() + 6e-6) * BINS).cast("int"))
+        bins = near.groupBy(*run, "bin").agg(F.count("*").alias("n"))
+        up_to = Window.partitionBy(*run).orderBy("bin")
+        counted = bins.withColumns({"upto": F.sum("n").over(up_to), "wanted": H * F.sum("n").over(Window.partitionBy(*run))})
+        share = (F.col("wanted") - F.col("upto") + F.col("n")) / F.col("n")
+        last = counted.filter("upto >= wanted").groupBy(*run).agg(F.min("bin").alias("last"), F.min_by(share, "bin").alias("share"))
+        nearest = near.join(written(last, "bins"), run).filter("bin <= last")
+        weight = F.when(F.col("bin") < F.col("last"), 1.0).otherwise(F.col("share"))
+        sums = nearest.withColumn("weight", weight).groupBy(*run).agg(
+            F.sum("weight").alias("n"), *(F.sum(F.col("weight") * F.col(f"x{i}")).alias(f"s{i}") for i in range(P)),
+            *(F.sum(F.col("weight") * F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}{j}") for i, j in PAIRS),
         )
-        better = written(sums.mapInArrow(_solve, _PARAMETERS), "estimates")
-        fell = better.join(parameters.select("grp", F.col("det").alias("old")), "grp").filter(F.col("det") < F.col("old") * 0.999)
-        parameters, stop = better, fell.isEmpty()
-        if stop:
+        better = sums.mapInArrow(_solve, _PARAMETERS).select(*run, F.struct(*ESTIMATES).alias("new"))
+        fell = F.coalesce(F.col("new.det") < F.col("det") * 0.999, F.lit(False))
+        values = [F.when(fell, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in ESTIMATES]
+        parameters = written(parameters.join(better, run, "left").select(*run, *values, fell.alias("moving")), "estimates")
+        if parameters.filter("moving").isEmpty():
             break
-    return parameters
+    best = parameters.groupBy("grp").agg(F.min_by(F.struct(*ESTIMATES), F.struct("det", "start")).alias("best"))
+    return best.select("grp", "best.*")
 
 
 def judge(

@@ -170,6 +170,39 @@ def test_estimates_against_numpy(spark):
     assert (d[:150] > outliers.CUTOFF).all() and (d[150:] < outliers.CUTOFF).all()
 
 
+VECTORS = "grp string, " + ", ".join(f"x{i} double" for i in range(5))
+
+
+def distances(spark, x):
+    """Squared distances of the rows of x as one group, with the production settings."""
+    rows = spark.createDataFrame([("g", i, *map(float, r)) for i, r in enumerate(x)], VECTORS.replace(",", ", row long,", 1))
+    judged = rows.join(outliers.robust_estimates(rows.drop("row")), "grp").select("row", outliers._distance().alias("d"))
+    return np.array([r.d for r in judged.orderBy("row").collect()])
+
+
+def clean_vectors(n, seed=4):
+    """Like sound prose: hardly a symbol, repeated line or repeated word."""
+    return np.random.default_rng(seed).normal(size=(n, 5)) * [0.9, 0.04, 0.002, 0.02, 0.02] + [5.6, 1.62, 0.002, 0.02, 0.02]
+
+
+@pytest.mark.parametrize("share", [1 / 3, 0.45])
+def test_copies_of_one_bad_document_do_not_make_it_usual(spark, share):
+    x = clean_vectors(900)
+    x[: int(900 * share)] = [6, 2.05, 0.45, 0.02, 0.02]
+    d = distances(spark, x)
+    bad = np.arange(900) < int(900 * share)
+    assert (d[bad] > outliers.CUTOFF).all() and np.mean(d[~bad] < outliers.CUTOFF) > 0.99
+
+
+@pytest.mark.parametrize("share", [0.3, 0.4])
+def test_like_bad_documents_do_not_become_usual(spark, share):
+    x = clean_vectors(900)
+    n = int(900 * share)
+    x[:n] = np.random.default_rng(6).normal(size=(n, 5)) * [0.3, 0.01, 0.01, 0.01, 0.01] + [6, 2.05, 0.45, 0.02, 0.02]
+    d = distances(spark, x)
+    assert (d[:n] > outliers.CUTOFF).all() and np.mean(d[n:] < outliers.CUTOFF) > 0.99
+
+
 def test_outliers_on_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
