@@ -29,15 +29,16 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 H = 0.5
 STEPS = 10
-CUTOFF = 50.0
+CUTOFF = 25.745  # 99.99 % of a chi-square with 5 degrees of freedom
 # Mean of a share H of a chi-square with 5 degrees of freedom, against 5: makes the covariance of the nearest ones that of all.
 CONSISTENCY = 1.91
 DRAWN = 4  # starts around a vector drawn by hash, besides those at the medians and in the middle of the shortest halves
 SLICES = 32  # quantiles between which the shortest half of a statistic is looked for
 PRIOR_ROWS = 20  # so many documents' weight have the spreads below: what a small group is judged by
 #: log words, log word length, share of symbols, of repeated lines and of repeated words (square roots).
-PRIOR_SPREADS = (1.0, 0.15, 0.03, 0.25, 0.2)
-LEAST_SPREADS = (0.1, 0.03, 0.025, 0.2, 0.15)
+#: For the two shares least and prior together leave room for CUTOFF: nine in ten lines repeated pass it in any group.
+PRIOR_SPREADS = (1.0, 0.15, 0.03, 0.07, 0.03)
+LEAST_SPREADS = (0.1, 0.03, 0.025, 0.17, 0.107)
 P = len(PRIOR_SPREADS)
 BINS = 16  # per unit of the log distance
 

@@ -214,6 +214,23 @@ def test_outliers_on_labels(spark):
     assert np.mean([r.kept for r in found if r.quality == 0]) < 0.25
 
 
+def test_long_texts_of_repeated_short_lines_are_rejected(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7)))
+    places = [("en", "src7"), ("fr", "src4"), ("es", "src1")]  # 38, 13 and 9 documents
+    menus = []
+    for i, place in enumerate(places):
+        lines = [" ".join(word() for _ in range(3)) for _ in range(30)]
+        menus.append((-1 - i, "\n".join(rng.choice(lines) for _ in range(600)), *place))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = outliers.judge(docs.unionByName(spark.createDataFrame(menus, DOCS)))
+    found = judged.join(labels, "doc_id", "left").collect()
+    planted = [r for r in found if r.doc_id < 0]
+    assert len(planted) == 3 and not any(r.base_failed or r.kept for r in planted)
+    assert np.mean([r.kept for r in found if r.quality == 1 and not r.base_failed]) > 0.99
+
+
 def test_outliers_on_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(1, None, None, None), (2, "", "en", ""), (3, text, None, "s"), (3, text, None, "s"), (None, text, "en", None), (4, "w " * 60_000, "en", "s")]
