@@ -269,7 +269,7 @@ def decode_tags_query(spark, sf_dir):
     tags = F.concat_ws(
         ",",
         _raw_json("event", "STRING", F.to_json(F.struct("event_type")).substr(F.lit(15), F.length("event_type") + 2)),
-        _raw_json("value", "float64", F.lit("1.5")),
+        _raw_json("value", "float64", F.coalesce(F.to_json(F.col("value").cast("variant")), F.lit("null"))),
         _raw_json("k", "string", F.coalesce(F.to_json(F.get_json_object("props", "$.k").cast("variant")), F.lit("null"))),
         _raw_json("nested", "string", F.concat(F.lit('{"a":'), number, F.lit("}"))),
         _raw_json("list", "string", F.concat(F.lit("["), number, F.lit("]"))),

@@ -33,3 +33,9 @@ def test_known_counts(spark):
     }
     edges = queries()["dependencies"](spark, "/root/testdata/sf0.01").collect()
     assert (len(edges), sum(r.call_count for r in edges)) == (1864, 34309)
+
+
+def test_decode_tags_passes_values_through_json(spark, sf):
+    plan = queries()["decode_tags"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("value:double" in line.split("ReadSchema")[1] for line in scans)
