@@ -28,7 +28,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 H = 0.5
-STEPS = 10
+STEPS = 200  # a limit for safety: each step takes a thousandth off a determinant that has a least value
 CUTOFF = 25.745  # 99.99 % of a chi-square with 5 degrees of freedom
 # Mean of a share H of a chi-square with 5 degrees of freedom, against 5: makes the covariance of the nearest ones that of all.
 CONSISTENCY = 1.91
@@ -182,7 +182,10 @@ def _starts(vectors: DataFrame) -> DataFrame:
 
 
 def robust_estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
-    """vectors: (grp, x0..x4) -> the parameters of each group: centre m, inverse covariance w (off the diagonal doubled)."""
+    """vectors: (grp, x0..x4) -> the parameters of each group: centre m, inverse covariance w (off the diagonal doubled).
+
+    The steps go on until no determinant falls by a thousandth; if one still does after so many steps, it is an error.
+    """
     vectors = written(vectors.select("grp", *(f"x{i}" for i in range(P))).distinct(), "vectors")
     parameters = written(_starts(vectors).withColumn("moving", F.lit(True)), "estimates")
     run = ["grp", "start"]
@@ -207,6 +210,8 @@ def robust_estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
         parameters = written(parameters.join(better, run, "left").select(*run, *values, fell.alias("moving")), "estimates")
         if parameters.filter("moving").isEmpty():
             break
+    else:
+        raise RuntimeError(f"determinants still fall after {steps} steps")
     best = parameters.groupBy("grp").agg(F.min_by(F.struct(*ESTIMATES), F.struct("det", "start")).alias("best"))
     return best.select("grp", "best.*")
 

@@ -203,6 +203,17 @@ def test_like_bad_documents_do_not_become_usual(spark, share):
     assert (d[:n] > outliers.CUTOFF).all() and np.mean(d[n:] < outliers.CUTOFF) > 0.99
 
 
+def test_steps_go_on_until_no_determinant_falls(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(800, 5)) * [1, 0.3, 0.2, 0.5, 0.4] + [5, 1.5, 0, 0, 0]
+    x[:150] = rng.normal(size=(150, 5)) * 0.1 + [9, 4, 3, 3, 3]
+    rows = spark.createDataFrame([("g", *map(float, r)) for r in x], VECTORS)
+    found = outliers.robust_estimates(rows).first()  # the production setting
+    assert np.allclose([found[f"m{i}"] for i in range(5)], mcd(x)[0], atol=0.05)
+    with pytest.raises(RuntimeError, match="still fall after 2 steps"):
+        outliers.robust_estimates(rows, 2)
+
+
 def test_outliers_on_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
