@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from spanweave.llm import (
+    collocations,
     exact_copies,
+    hard_negatives,
     importance,
     katz,
+    licences,
     mixing,
     near_copies,
     outliers,
@@ -67,6 +70,18 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisits.query(spark, sf_dir)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.query(table(spark, sf_dir, "embeddings"))
+
+
+def op13_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -75,7 +90,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_sentencepieces, op2_importance, op3_katz, op4_token_files, op5_sharding, op6_mixing, op7_near_copies,
-        op8_exact_copies, op9_outliers, op10_revisits, pipeline,
+        op8_exact_copies, op9_outliers, op10_revisits, op11_collocations, op12_hard_negatives,
+        op13_licences, pipeline,
     )
 }
 
@@ -84,4 +100,7 @@ ORACLE: dict[str, str] = {
     "op6_mixing": mixing.SQL,
     "op8_exact_copies": exact_copies.SQL,
     "op10_revisits": revisits.SQL,
+    "op11_collocations": collocations.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_licences": licences.SQL,
 }
