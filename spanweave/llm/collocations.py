@@ -38,7 +38,7 @@ SCALE = 1_000_000
 FILTER_BITS = 1 << 27
 HASH_BITS = 48
 BITMAP_BITS = 8 * 4096  # of bitmap_construct_agg
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 23
 RANK_PARTS = 64
 
 _SEPARATOR = r"[.,;:!?\x0A-\x0D]"
@@ -48,14 +48,40 @@ _STEP = _U(0x2545F4914F6CDD1D)
 
 
 def _slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Parts of the batches with SLICE_BYTES of text or one row."""
+    """The rows of the batches, dealt anew: SLICE_BYTES of text at once, or one row with more."""
+    held, size = [], 0
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
-        part = (np.cumsum(sizes) - sizes) // SLICE_BYTES if len(sizes) else sizes
-        edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(sizes)]
-        for start, end in zip(edges, edges[1:]):
-            if end > start:
-                yield batch.slice(start, end - start)
+        sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        place = size + np.cumsum(sizes)
+        start = 0
+        while start < len(batch):
+            end = max(int(np.searchsorted(place, SLICE_BYTES, "right")), start + (not held))
+            held.append(batch.slice(start, end - start))
+            if end < len(batch):
+                yield _joined(held)
+                place, held = place - place[end - 1], []
+            start = end
+        size = int(place[-1]) if len(batch) else size
+    if held:
+        yield _joined(held)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
+
+
+def _numbered(keys: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, all below the bound, in order, and each key's place among them."""
+    if bound > 8 * len(keys) + (1 << 20):
+        return np.unique(keys, return_inverse=True)
+    held = np.zeros(bound, bool)
+    held[keys] = True
+    return np.flatnonzero(held), (np.cumsum(held) - 1)[keys]
+
+
+def _word_hashes(words: pa.Array, seed: int = 42) -> np.ndarray:
+    """As Spark's xxhash64 gives them."""
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words.cast(pa.binary()).to_pylist()), _U, len(words))
 
 
 class Words:
@@ -81,9 +107,6 @@ class Words:
         self.text = np.repeat(np.arange(len(starts) - 1), self.sizes)
         self.mark = np.flatnonzero(pc.equal(self.names, _MARK).to_numpy(zero_copy_only=False))
 
-    def hashes(self) -> np.ndarray:
-        return np.fromiter((xxhash.xxh64_intdigest(w) for w in self.names.to_pylist()), _U, len(self.names))
-
     def runs(self, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
         """The words from starts on, so many each, joined by spaces."""
         offsets = np.concatenate([[0], np.cumsum(sizes)])
@@ -98,7 +121,7 @@ def parse(langs: pa.Array, texts: pa.Array, longest: int = LONGEST, chunk_words:
     spaced = pc.replace_substring(pc.replace_substring_regex(low, _SEPARATOR, f" {_MARK} "), "\t", " ")
     words = Words(spaced, blanks=True)
     window, n = longest - 1, len(words.codes)
-    hashes = words.hashes()[words.codes]
+    hashes = _word_hashes(words.names)[words.codes]
     starts = words.starts[:-1][words.sizes > 0]
     if window and n >= window:
         rolled = np.zeros(n - window + 1, _U)
@@ -130,10 +153,12 @@ class Phrases:
         self.weight = batch["n"].to_numpy()[words.text]
         self.lang = lang[words.text]
         # Words by language, numbered; their hashes name the language too.
-        keys, self.word = np.unique(self.lang * max(1, len(words.names)) + words.codes, return_inverse=True)
-        names = words.names.take(pa.array(keys % max(1, len(words.names)))).to_pylist()
-        tongues = self.langs.take(pa.array(keys // max(1, len(words.names)))).to_pylist()
-        self.hashes = np.fromiter((xxhash.xxh64_intdigest(f"{t}\n{w}", 42) for t, w in zip(tongues, names)), _U, len(keys))
+        width = max(1, len(words.names))
+        keys, self.word = _numbered(self.lang * width + words.codes, len(self.langs) * width)
+        edges = np.searchsorted(keys, width * np.arange(len(self.langs) + 1))
+        seeds = map(int, _word_hashes(self.langs))
+        parts = [_word_hashes(words.names.take(pa.array(keys[i:j] % width)), seed) for i, j, seed in zip(edges, edges[1:], seeds)]
+        self.hashes = np.concatenate([np.zeros(0, _U), *parts])
 
     def begins(self, size: int, open_word: np.ndarray) -> np.ndarray:
         """Places of this chunk's phrases of that many words, all of them open."""
@@ -214,7 +239,7 @@ def count_phrases(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST)
     spelt = "lang string, phrase string, size int, n long"
     keys = ["lang", "phrase", "size"]
     words = written(chunks.mapInArrow(spell_words, spelt).groupBy(*keys).agg(F.sum("n").alias("n")), "words")
-    own_hash = F.xxhash64(F.concat_ws("\n", "lang", "phrase"))
+    own_hash = F.xxhash64("lang", "phrase")
     frequent = words.filter(F.col("n") >= least).select(own_hash.bitwiseAND(F.lit(FILTER_BITS - 1)).alias("cell"))
     context = chunks.sparkSession.sparkContext
     word_bits = context.broadcast(bytes(_bitmap(frequent)))
