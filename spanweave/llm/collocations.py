@@ -38,7 +38,7 @@ SCALE = 1_000_000
 FILTER_BITS = 1 << 27
 HASH_BITS = 48
 BITMAP_BITS = 8 * 4096  # of bitmap_construct_agg
-SLICE_BYTES = 1 << 23
+SLICE_BYTES = 1 << 22
 RANK_PARTS = 64
 
 _SEPARATOR = r"[.,;:!?\x0A-\x0D]"
