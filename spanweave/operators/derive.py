@@ -7,7 +7,7 @@ The plan, from spans to edges:
           +-------> facts <--------+      (what a span or group states about one id, counted)
           |           |
           |      match facts on (trace_id, id)      -> parent, peer and plain shared links
-          +-----> claims of ids that need ordering  -> remaining shared links
+          +-----> claims of ids that need ordering  -> remaining shared links (a filter of these ids, then a prefix scan)
 
 A trace is never gathered and no column holds more than a span's own tags and references.  Facts
 are counted per service before they are matched, so an id referred to by a large part of all spans
@@ -25,7 +25,7 @@ from spanweave.operators.groups import (
     PLAIN_LINK,
     id_groups,
 )
-from spanweave.operators.ordered import LIST_LIMIT, ordered_shared_links
+from spanweave.operators.ordered import ordered_shared_links
 from spanweave.operators.spans import narrow_spans
 
 SHARED = "shared"
@@ -39,7 +39,7 @@ ANSWER = "answer"  # `service` answers for the id
 SEEN = "seen"  # some span refers to the id
 LEAF = "leaf"  # an eligible span of `service` with the id names the peer `other`
 LINK = "link"  # finished link service -> other, about no id
-ORDER = "order"  # the shared link of the id depends on the order of its `other` claims
+ORDER = "order"  # the shared link of the id depends on the order of its claims
 
 # A call meets the answer, and a leaf candidate meets the sighting that rules it out.
 _WAITING = {ANSWER: "a", LEAF: "l", LINK: "x"}
@@ -106,7 +106,7 @@ def _group_facts(groups: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
         f"{PLAIN_LINK} as linked",
         "calling_service",
         "called_service",
-        f"if({NEEDS_ORDERING}, n_calling + n_called - n_both, null) as claims",
+        f"{NEEDS_ORDERING} as unordered",
         "posexplode_outer(if(n = 1, only_open.refs, null)) as (at, ref)",
     )
     facts = []
@@ -114,7 +114,7 @@ def _group_facts(groups: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
         facts.append(
             _fact(f"linked and {_FIRST}", LINK, service="calling_service", other="called_service")
         )
-        facts.append(_fact(f"claims is not null and {_FIRST}", ORDER, "span_id", other="claims"))
+        facts.append(_fact(f"unordered and {_FIRST}", ORDER, "span_id"))
     if PARENT in kinds:
         facts.append(_fact("ref is not null", CALL, "ref", "service"))
         facts.append(_fact(f"answers is not null and {_FIRST}", ANSWER, "span_id", "answers"))
@@ -170,20 +170,14 @@ def _claims(narrow: DataFrame) -> DataFrame:
 
 
 def links_of(
-    narrow: DataFrame, kinds: tuple[str, ...] = KINDS, list_limit: int = LIST_LIMIT
+    narrow: DataFrame, kinds: tuple[str, ...] = KINDS, parts: int | None = None
 ) -> DataFrame:
     """Links of narrowed spans: kind, parent, child and how often (`weight`)."""
     facts = _facts(narrow, id_groups(narrow), kinds)
     links = _matched_links(facts)
     if SHARED in kinds:
-        # An id states this once, so its weight is 1; it is there to keep filters on the count above
-        # the exchange of the facts.
-        ordered = _with_roles(facts, ORDER).selectExpr(
-            "trace_id",
-            "id as span_id",
-            "coalesce(try_cast(other as bigint), 0L) * weight as ordered",
-        )
-        rest = ordered_shared_links(_claims(narrow), ordered, list_limit)
+        ordered = _with_roles(facts, ORDER).select("trace_id", F.col("id").alias("span_id"))
+        rest = ordered_shared_links(_claims(narrow), ordered, parts)
         links = links.unionAll(rest.select(F.lit(SHARED).alias("kind"), "parent", "child", "weight"))
     return links
 
@@ -192,13 +186,14 @@ def all_links(
     spans: DataFrame,
     peer_tag: str = PEER_KEY,
     kinds: tuple[str, ...] = KINDS,
-    list_limit: int = LIST_LIMIT,
+    parts: int | None = None,
 ) -> DataFrame:
     """The bag of links of all traces: kind, parent, child, weight.
 
-    `weight` is a row's multiplicity in the bag; equal links may still come in several rows.
+    `weight` is a row's multiplicity in the bag; equal links may still come in several rows.  `parts` is the number of
+    range partitions in which claims are put in order.
     """
-    return links_of(narrow_spans(spans, peer_tag), kinds, list_limit)
+    return links_of(narrow_spans(spans, peer_tag), kinds, parts)
 
 
 def count_calls(links: DataFrame) -> DataFrame:

@@ -2,142 +2,111 @@
 
 The rule is a scan: walk the spans of the id in order (start time, service, those that claim the calling end first before
 the others), let every claim overwrite the last one of its end (also with an unknown service), and stop as soon as both
-ends are known.  A scan splits
-into pieces: a piece is summed up by what it does when nothing, a calling service or a called
-service is already known, and neighbouring pieces combine to one of the same form.  So an id with
-any number of spans is folded piecewise by time, never as one list.
+ends are known.
+
+The scan is a prefix scan over range partitions of (id, time).  Each stretch of an id inside one partition is summed up
+on its own: the link it holds if nothing is known before it, the called service that a calling service known before
+would meet, the calling service that a called one would meet, and the last claim of either end.  What is known before a
+stretch is the last claim of the stretches before it, of which an id has as many as there are range partitions at most.
+So an id with any number of spans is spread over tasks, nothing is gathered in a list, and there is one plan for all
+sizes.
+
+Few ids need any of this.  Their ids go into a bitmap of a fixed size, and only claims that hit it are shuffled at all.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ID = ["trace_id", "span_id"]
 
-# Ids with more ordered spans than this are folded piecewise.
-LIST_LIMIT = 1000
-
-# Microseconds per piece, as powers of two: 65 ms, 71 minutes, 9 years, then all.  A level joins at
-# most 65536 pieces of the level below; the lowest at most 65536 instants of each service.
-PIECE_BITS = (16, 32, 48)
-
-# Summary of a piece of the scan:
-#   parent, child    link found when nothing was known before the piece
-#   calling, called  service known after it in that case, if no link was found (at most one)
-#   meets_calling    called service that a calling service known before the piece links to
-#   meets_called     the same for the other end
-#   keeps_calling    a calling service known before the piece is still known after it, untouched
-#   keeps_called     the same for the other end
-# Where neither `meets` nor `keeps` holds, what was known before has been overwritten and the piece
-# goes on as if nothing had been known.
-_PIECE = (
-    "struct<parent:string,child:string,calling:string,called:string,"
-    "meets_calling:string,meets_called:string,keeps_calling:boolean,keeps_called:boolean>"
-)
-
-_NOTHING = f"cast(struct(null, null, null, null, null, null, true, true) as {_PIECE})"
-
-# How the summary `a` goes on into the piece `b` when `a` found no link.
-_MEETS_CALLING = "b.meets_calling is not null and a.calling is not null"
-_MEETS_CALLED = "b.meets_called is not null and a.called is not null"
-_KEEPS_CALLING = "b.keeps_calling and a.calling is not null"
-_KEEPS_CALLED = "b.keeps_called and a.called is not null"
-
-
-def _outcome(linked: str, met_calling: str, met_called: str, kept_calling: str, kept_called: str, fresh: str):
-    return f"""case
-        when a.parent is not null then {linked}
-        when {_MEETS_CALLING} then {met_calling}
-        when {_MEETS_CALLED} then {met_called}
-        when {_KEEPS_CALLING} then {kept_calling}
-        when {_KEEPS_CALLED} then {kept_called}
-        else {fresh} end"""
-
-
-# Summary of `a` followed by `b`.
-_JOINED = f"""cast(struct(
-    {_outcome("a.parent", "a.calling", "b.meets_called", "null", "null", "b.parent")},
-    {_outcome("a.child", "b.meets_calling", "a.called", "null", "null", "b.child")},
-    {_outcome("null", "null", "null", "a.calling", "null", "b.calling")},
-    {_outcome("null", "null", "null", "null", "a.called", "b.called")},
-    coalesce(a.meets_calling, case when a.keeps_calling then b.meets_calling end),
-    coalesce(a.meets_called, case when a.keeps_called then b.meets_called end),
-    a.keeps_calling and b.keeps_calling,
-    a.keeps_called and b.keeps_called) as {_PIECE})"""
-
-# Combine an array of (place..., piece) structs in the order of their places.
-_FOLD = (
-    f"aggregate(transform(array_sort(pieces), p -> p.piece), {_NOTHING}, (a, b) -> {_JOINED}) as piece"
-)
-
-
-def _instants(claims: DataFrame) -> DataFrame:
-    """Claims of one service at one start time, as one piece.
-
-    All of them carry the same service, so all that matters is which end is claimed and which first: the calling end
-    where any of the spans claims it first.
+# The filter holds this many words of 64 bits, at most; a crowded one lets more claims through to the exact join behind it.
+FILTER_WORDS = 1 << 20
+
+_EVENT_ORDER = ["start_time", "service", "step"]
+
+
+def _cell() -> Column:
+    return F.pmod(F.xxhash64(*ID), F.lit(64 * FILTER_WORDS))
+
+
+def may_be_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose (trace_id, span_id) is among the ids, and a few others.
+
+    The ids become bits, ored on the map side; the bits are broadcast, since their number has a fixed bound.
+    """
+    cells = ids.select(_cell().alias("cell")).selectExpr("cell div 64 as word", "shiftleft(1L, cast(cell % 64 as int)) as bit")
+    bits = cells.groupBy("word").agg(F.expr("bit_or(bit) as bits"))
+    columns = [F.col(c) for c in rows.columns]
+    asked = rows.select(*columns, _cell().alias("cell")).selectExpr(*rows.columns, "cell div 64 as word", "cast(cell % 64 as int) as bit")
+    return asked.join(F.broadcast(bits), "word").filter("getbit(bits, bit) = 1").select(*rows.columns)
+
+
+def _events(claims: DataFrame) -> DataFrame:
+    """What a service claims at one start time, one end after the other: *ID, start_time, service, step, calling.
+
+    All claims of one service at one time carry the same service, so all that matters is which ends are claimed and which
+    first: the calling end where any of the spans claims it first.
     """
-    ends = claims.groupBy(*ID, "ordered", "start_time", "service").agg(
+    instants = claims.groupBy(*ID, "start_time", "service").agg(
         F.expr("bool_or(contains(sides, 'c')) as calling"),
         F.expr("bool_or(contains(sides, 's')) as called"),
         F.expr("bool_or(startswith(sides, 'c')) as calling_first"),
     )
-    return ends.selectExpr(
+    steps = "filter(if(calling_first, array(true, if(called, false, null)), array(false, if(calling, true, null))), e -> e is not null)"
+    return instants.selectExpr(*ID, "start_time", "service", f"posexplode({steps}) as (step, calling)")
+
+
+def _stretches(events: DataFrame, parts: int | None) -> DataFrame:
+    """One row per id and range partition, see the head of the file.
+
+    parent, child                the link if nothing was known before
+    met_by_calling               called service that a calling service known before meets
+    met_by_called                calling service that a called service known before meets
+    last_calling, last_called    struct of the last service claimed for that end, null without a claim
+    """
+    by = [*ID, *_EVENT_ORDER]
+    ranged = events.repartitionByRange(parts, *by) if parts else events.repartitionByRange(*by)
+    running = f"over (partition by stretch, trace_id, span_id order by {', '.join(_EVENT_ORDER)} rows between unbounded preceding and current row)"
+    walked = ranged.withColumn("stretch", F.spark_partition_id()).selectExpr(
+        "stretch",
         *ID,
-        "ordered",
-        "start_time",
-        "service",
-        f"""cast(struct(
-            if(calling and called, service, null),
-            if(calling and called, service, null),
-            if(calling and not called, service, null),
-            if(called and not calling, service, null),
-            if(called and not calling_first, service, null),
-            if(calling_first, service, null),
-            service is null and not calling,
-            service is null and not called) as {_PIECE}) as piece""",
+        "struct(start_time, service, step) as at",
+        f"last(if(calling, struct(service as name), null), true) {running} as from_end",
+        f"last(if(calling, null, struct(service as name)), true) {running} as to_end",
+    )
+    return walked.groupBy("stretch", *ID).agg(
+        F.expr("min_by(struct(from_end.name as parent, to_end.name as child), at) filter (where from_end.name is not null and to_end.name is not null) as link"),
+        F.expr("min_by(to_end.name, at) filter (where from_end is null and to_end.name is not null) as met_by_calling"),
+        F.expr("min_by(from_end.name, at) filter (where to_end is null and from_end.name is not null) as met_by_called"),
+        F.expr("max_by(from_end, at) as last_calling"),
+        F.expr("max_by(to_end, at) as last_called"),
     )
 
 
-def ordered_shared_links(
-    claims: DataFrame, ordered: DataFrame, list_limit: int = LIST_LIMIT
-) -> DataFrame:
+def ordered_shared_links(claims: DataFrame, ordered: DataFrame, parts: int | None = None) -> DataFrame:
     """Shared links (parent, child, weight) of the ids in `ordered`.
 
     claims   trace_id, span_id, start_time, service, sides; of any id
-    ordered  trace_id, span_id and the number of claims of the id
+    ordered  trace_id, span_id of the ids that need it, each once
+    parts    range partitions of the scan; Spark's number of shuffle partitions if not given
     """
     # Plain exchanges on both sides: Spark splits an id with very many claims.
-    instants = _instants(claims.join(ordered, ID))
-
-    whole = (
-        instants.filter(F.col("ordered") <= list_limit)
-        .groupBy(*ID)
-        .agg(F.collect_list(F.struct("start_time", "service", "piece")).alias("pieces"))
-        .selectExpr(_FOLD)
+    asked = may_be_among(claims, ordered).join(ordered.select(*ID), ID)
+    before = "over (partition by trace_id, span_id order by stretch rows between unbounded preceding and 1 preceding)"
+    carried = _stretches(_events(asked), parts).selectExpr(
+        "*",
+        f"last(last_calling, true) {before} as calling_before",
+        f"last(last_called, true) {before} as called_before",
     )
-
-    level = (
-        instants.filter(F.col("ordered") > list_limit)
-        .withColumn("place", F.shiftright("start_time", PIECE_BITS[0]))
-        .groupBy(*ID, "place")
-        .agg(F.collect_list(F.struct("start_time", "service", "piece")).alias("pieces"))
-    )
-    for lower, upper in zip(PIECE_BITS, PIECE_BITS[1:]):
-        level = (
-            level.selectExpr(*ID, "place", _FOLD)
-            .withColumn("upper", F.shiftright("place", upper - lower))
-            .groupBy(*ID, F.col("upper").alias("place"))
-            .agg(F.collect_list(F.struct(F.col("place").alias("at"), "piece")).alias("pieces"))
-        )
-    long = (
-        level.selectExpr(*ID, "place", _FOLD)
-        .groupBy(*ID)
-        .agg(F.collect_list(F.struct("place", "piece")).alias("pieces"))
-        .selectExpr(_FOLD)
-    )
-
-    return (
-        whole.unionAll(long)
-        .select("piece.parent", "piece.child", F.lit(1).cast("bigint").alias("weight"))
-        .filter(F.col("parent").isNotNull())
+    # With one end known before, its link comes no later than the stretch's own; with both known, an earlier stretch has it.
+    links = carried.selectExpr(
+        *ID,
+        "stretch",
+        """case when calling_before.name is not null and met_by_calling is not null
+                  then struct(calling_before.name as parent, met_by_calling as child)
+                when called_before.name is not null and met_by_called is not null
+                  then struct(met_by_called as parent, called_before.name as child)
+                else link end as link""",
     )
+    first = links.filter("link is not null").groupBy(*ID).agg(F.expr("min_by(link, stretch) as link"))
+    return first.select("link.parent", "link.child", F.lit(1).cast("bigint").alias("weight"))

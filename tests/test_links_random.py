@@ -38,14 +38,14 @@ def random_spans(seed, traces, ids=5, spans=8, services=("a", "b", "c", None), d
     return result
 
 
-@pytest.mark.parametrize("list_limit", [1000, 1])
-def test_random_traces(spark, list_limit):
+@pytest.mark.parametrize("parts", [None, 1, 7, 40])
+def test_random_traces(spark, parts):
     spans = random_spans(7, 1500)
-    assert links(frame(spark, spans), list_limit=list_limit) == walk(spans)
+    assert links(frame(spark, spans), parts=parts) == walk(spans)
 
 
-@pytest.mark.parametrize("list_limit", [1000, 2])
-def test_long_shared_groups(spark, list_limit):
+@pytest.mark.parametrize("parts", [None, 1, 50])
+def test_long_shared_groups(spark, parts):
     """Many claims under one id, many of them of unknown services, spread over wide time ranges."""
     rnd = random.Random(3)
     spans = []
@@ -70,7 +70,7 @@ def test_long_shared_groups(spark, list_limit):
             )
     expected = walk(spans)
     assert sum(expected.values()) > 100
-    assert links(frame(spark, spans), list_limit=list_limit) == expected
+    assert links(frame(spark, spans), parts=parts) == expected
 
 
 def test_one_span_id_holds_a_third(spark):
@@ -82,4 +82,4 @@ def test_one_span_id_holds_a_third(spark):
     ]
     spans += [Span("hot", 10 + i, i, "leaf", (), (1,)) for i in range(3000)]
     spans += [Span("hot", 9999, 1, "copy", (), (1,))] * 3000
-    assert links(frame(spark, spans), list_limit=100) == walk(spans)
+    assert links(frame(spark, spans), parts=20) == walk(spans)
