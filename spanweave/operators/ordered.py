@@ -14,7 +14,7 @@ sizes.
 Few ids need any of this.  Their ids go into a bitmap of a fixed size, and only claims that hit it are shuffled at all.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ID = ["trace_id", "span_id"]
@@ -25,8 +25,10 @@ FILTER_WORDS = 1 << 20
 _EVENT_ORDER = ["start_time", "service", "step"]
 
 
-def _cell() -> Column:
-    return F.pmod(F.xxhash64(*ID), F.lit(64 * FILTER_WORDS))
+# Never null, and plainly so: Spark would infer a filter on a nullable join key, push it into the scan, and the readers of
+# the spans would no longer share one exchange.
+_WORD = f"shiftright(xxhash64(trace_id, span_id) & {64 * FILTER_WORDS - 1}L, 6)"
+_BIT = "cast(xxhash64(trace_id, span_id) & 63L as int)"
 
 
 def may_be_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -34,10 +36,8 @@ def may_be_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
     The ids become bits, ored on the map side; the bits are broadcast, since their number has a fixed bound.
     """
-    cells = ids.select(_cell().alias("cell")).selectExpr("cell div 64 as word", "shiftleft(1L, cast(cell % 64 as int)) as bit")
-    bits = cells.groupBy("word").agg(F.expr("bit_or(bit) as bits"))
-    columns = [F.col(c) for c in rows.columns]
-    asked = rows.select(*columns, _cell().alias("cell")).selectExpr(*rows.columns, "cell div 64 as word", "cast(cell % 64 as int) as bit")
+    bits = ids.selectExpr(f"{_WORD} as word", f"shiftleft(1L, {_BIT}) as bit").groupBy("word").agg(F.expr("bit_or(bit) as bits"))
+    asked = rows.selectExpr("*", f"{_WORD} as word", f"{_BIT} as bit")
     return asked.join(F.broadcast(bits), "word").filter("getbit(bits, bit) = 1").select(*rows.columns)
 
 

@@ -24,9 +24,9 @@ def test_spans_are_read_once(spark, tmp_path):
         assert "ReusedExchange" in plan
 
 
-def test_no_python_no_windows_no_cross_joins(spark, tmp_path):
+def test_no_python_no_lists_no_cross_joins(spark, tmp_path):
     plan = final_plan(derive(stored(spark, str(tmp_path / "spans"))))
-    for operator in ("Python", "Arrow", "Window", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    for operator in ("Python", "Arrow", "collect_list", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in plan
 
 
