@@ -303,6 +303,7 @@ ORACLE: dict[str, str] = {
     "all_links_conv": _by_kind(SPANS_CONV, "spans_conv"),
     "all_links_events": _by_kind(SPANS_EVENTS, "spans_events"),
     "dependencies": _edges(SPANS_ORDERS, "spans_orders"),
+    "stored_dependencies": _edges(SPANS_REPEATED, "spans_repeated"),
     "dependencies_other_tag": _edges(SPANS_ORDERS, "spans_orders", peer_tag="span.kind"),
     "day_document": _edges(
         SPANS_EVENTS,

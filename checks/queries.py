@@ -32,10 +32,12 @@ from spanweave.operators.results import (
     tree_edges,
 )
 from spanweave.operators.spans import dedup_spans, narrow_spans, trace_groups
+from spanweave.operators.whole import derive_stored
 from spanweave.operators.trees import tree_spans, trees
 from spanweave.plans.day import DayJob, ScanOptions, run_day
 from spanweave.shared import new_folder
 from spanweave.sinks.records import day_documents, day_rows, sink_layout, write_documents, write_rows
+from spanweave.sinks.traces import TraceStore, read_traces, write_traces
 from spanweave.schema import RAW_JSON_SCHEMA
 from spanweave.sources.decode import decode_docs, rejected_docs
 from spanweave.sources.names import NameRule
@@ -434,6 +436,13 @@ def leaf_spans_query(spark, sf_dir):
     return _show_eligible(leaf_spans(narrow_spans(_repeated_orders(spark, sf_dir))))
 
 
+def stored_dependencies(spark, sf_dir):
+    """From a table bucketed by trace; traces of more than ten spans lie beside it."""
+    store = TraceStore(shared_folder(spark), buckets=8)
+    write_traces(_repeated_orders(spark, sf_dir), store, most=10)
+    return derive_stored(*read_traces(spark, store))
+
+
 # Results
 
 
@@ -555,6 +564,7 @@ QUERIES: dict[str, Query] = {
     "all_links_events": lambda spark, sf: _kind_links(spans_events(spark, sf)),
     "dependencies": lambda spark, sf: derive(spans_orders(spark, sf)),
     "dependencies_other_tag": lambda spark, sf: derive(spans_orders(spark, sf), peer_tag="span.kind"),
+    "stored_dependencies": stored_dependencies,
     "day_document": day_document,
     "sink_v1": sink_v1,
     "sink_v2": sink_v2,
