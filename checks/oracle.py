@@ -303,6 +303,7 @@ ORACLE: dict[str, str] = {
     "all_links_conv": _by_kind(SPANS_CONV, "spans_conv"),
     "all_links_events": _by_kind(SPANS_EVENTS, "spans_events"),
     "dependencies": _edges(SPANS_ORDERS, "spans_orders"),
+    "late_spans": _edges(SPANS_REPEATED, "spans_repeated"),
     "stored_dependencies": _edges(SPANS_REPEATED, "spans_repeated"),
     "dependencies_other_tag": _edges(SPANS_ORDERS, "spans_orders", peer_tag="span.kind"),
     "day_document": _edges(
@@ -330,6 +331,7 @@ ORACLE: dict[str, str] = {
     "tree_edges": _with(TREES, select="select * from tree_counts"),
     "tree_dependencies": _with(TREES, select="select * from tree_counts"),
     "run_day": _edges(SPANS_EVENTS + _EVENT_DAY, "day_events"),
+    "published_day": _edges(SPANS_EVENTS + _EVENT_DAY, "day_events"),
 }
 
 for _layout, _second in (("sink_v1", "ts_index"), ("sink_v2", "ts_bucket")):

@@ -23,6 +23,7 @@ from spanweave.functions.tags import (
     tag_value,
 )
 from spanweave.operators.derive import KINDS, PARENT, PEER, SHARED, all_links, count_calls, derive
+from spanweave.operators.increment import apply_changes, edge_changes
 from spanweave.operators.groups import eligible_spans, leaf_spans, shared_groups
 from spanweave.operators.results import (
     adjacency_map,
@@ -35,6 +36,7 @@ from spanweave.operators.spans import dedup_spans, narrow_spans, trace_groups
 from spanweave.operators.whole import derive_stored
 from spanweave.operators.trees import tree_spans, trees
 from spanweave.plans.day import DayJob, ScanOptions, run_day
+from spanweave.plans.publish import publish_day, published_edges
 from spanweave.shared import new_folder
 from spanweave.sinks.records import day_documents, day_rows, sink_layout, write_documents, write_rows
 from spanweave.sinks.traces import TraceStore, read_traces, write_traces
@@ -443,6 +445,17 @@ def stored_dependencies(spark, sf_dir):
     return derive_stored(*read_traces(spark, store))
 
 
+def late_spans(spark, sf_dir):
+    """Every fifth order has spans that arrive, with copies, after the rest was derived and stored."""
+    folder = shared_folder(spark)
+    _repeated_orders(spark, sf_dir).write.parquet(f"{folder}/spans")
+    spans = spark.read.parquet(f"{folder}/spans")
+    late = F.expr("endswith(trace_id, '5') and span_id % 3 <> 1")
+    stored = spans.filter(~late)
+    derive(stored).write.parquet(f"{folder}/edges")
+    return apply_changes(spark.read.parquet(f"{folder}/edges"), edge_changes(stored, spans.filter(late)))
+
+
 # Results
 
 
@@ -529,6 +542,17 @@ def run_day_query(spark, sf_dir):
     return run_day(spark, DayJob("SPAN_TABLE", f"{folder}/in", f"{folder}/out", DAY, layout="v2"))
 
 
+def published_day(spark, sf_dir):
+    """Published twice, the first time without the spans of later hours."""
+    folder = shared_folder(spark)
+    spans = spans_events(spark, sf_dir)
+    spans.filter("start_time % 2 = 0").write.parquet(f"{folder}/early")
+    spans.write.parquet(f"{folder}/all")
+    for name in ("early", "all"):
+        publish_day(spark, DayJob("span_table", f"{folder}/{name}", f"{folder}/out", DAY))
+    return published_edges(spark, f"{folder}/out", DAY)
+
+
 QUERIES: dict[str, Query] = {
     "day_scan": day_scan,
     "day_scan_late": day_scan_late,
@@ -565,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "dependencies": lambda spark, sf: derive(spans_orders(spark, sf)),
     "dependencies_other_tag": lambda spark, sf: derive(spans_orders(spark, sf), peer_tag="span.kind"),
     "stored_dependencies": stored_dependencies,
+    "late_spans": late_spans,
     "day_document": day_document,
     "sink_v1": sink_v1,
     "sink_v2": sink_v2,
@@ -575,4 +600,5 @@ QUERIES: dict[str, Query] = {
     "tree_edges": tree_edges_query,
     "tree_dependencies": tree_dependencies,
     "run_day": run_day_query,
+    "published_day": published_day,
 }

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import SparkSession
 
 from spanweave.functions.tags import PEER_KEY
-from spanweave.plans.day import DayJob, ScanOptions, run_day
+from spanweave.plans.day import DayJob, RunReport, ScanOptions, run_and_report
 from spanweave.sinks.records import PARTS
 from spanweave.sources.names import NameRule
 from spanweave.sources.spans import RANGE_MILLIS
@@ -68,7 +68,11 @@ def parse_args(argv: list[str] | None = None) -> DayJob:
     )
 
 
+def summary(report: RunReport) -> str:
+    read = "" if report.documents is None else f"{report.documents} documents, {report.rejects} of them left out; "
+    return f"{report.edges} links stored, {report.calls} calls; {read}{report.spans} spans read, {report.null_ids} without an id"
+
+
 if __name__ == "__main__":
     job = parse_args()
-    edges = run_day(SparkSession.builder.appName("spanweave").getOrCreate(), job)
-    print(f"{edges.count()} links stored")
+    print(summary(run_and_report(SparkSession.builder.appName("spanweave").getOrCreate(), job)[1]))

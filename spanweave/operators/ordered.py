@@ -25,19 +25,21 @@ FILTER_WORDS = 1 << 20
 _EVENT_ORDER = ["start_time", "service", "step"]
 
 
-# Never null, and plainly so: Spark would infer a filter on a nullable join key, push it into the scan, and the readers of
-# the spans would no longer share one exchange.
-_WORD = f"shiftright(xxhash64(trace_id, span_id) & {64 * FILTER_WORDS - 1}L, 6)"
-_BIT = "cast(xxhash64(trace_id, span_id) & 63L as int)"
+def _place(keys: list[str]) -> tuple[str, str]:
+    """Word and bit of a key.  Never null, and plainly so: Spark would infer a filter on a nullable join key, push it into
+    the scan, and the readers of the spans would no longer share one exchange."""
+    key = f"xxhash64({', '.join(keys)})"
+    return f"shiftright({key} & {64 * FILTER_WORDS - 1}L, 6) as word", f"cast({key} & 63L as int) as bit"
 
 
-def may_be_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose (trace_id, span_id) is among the ids, and a few others.
+def may_be_among(rows: DataFrame, ids: DataFrame, keys: list[str] = ID) -> DataFrame:
+    """The rows whose keys are among the ids, and a few others.
 
     The ids become bits, ored on the map side; the bits are broadcast, since their number has a fixed bound.
     """
-    bits = ids.selectExpr(f"{_WORD} as word", f"shiftleft(1L, {_BIT}) as bit").groupBy("word").agg(F.expr("bit_or(bit) as bits"))
-    asked = rows.selectExpr("*", f"{_WORD} as word", f"{_BIT} as bit")
+    set_bits = ids.selectExpr(*_place(keys)).selectExpr("word", "shiftleft(1L, bit) as bit")
+    bits = set_bits.groupBy("word").agg(F.expr("bit_or(bit) as bits"))
+    asked = rows.selectExpr("*", *_place(keys))
     return asked.join(F.broadcast(bits), "word").filter("getbit(bits, bit) = 1").select(*rows.columns)
 
 

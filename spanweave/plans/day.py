@@ -1,9 +1,12 @@
 """One day from stored spans to stored dependencies."""
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.functions.days import parse_day
@@ -71,10 +74,81 @@ def edges_path(job: DayJob, day: dt.date) -> str:
     return f"{job.output}/edges/dt={day.isoformat()}"
 
 
-def _store_edges(spark: SparkSession, job: DayJob, day: dt.date, spans: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class RunReport:
+    """What a run saw, counted on its one pass over the source.
+
+    documents  documents in range, before any was left out (search sources, else None)
+    spans      spans read, with their copies
+    null_ids   spans without a trace or span id, which no link can come from
+    edges      pairs of services stored
+    calls      calls of all pairs
+    """
+
+    documents: int | None
+    spans: int
+    null_ids: int
+    edges: int
+    calls: int
+
+    @property
+    def rejects(self) -> int | None:
+        """Documents that permissive reading left out."""
+        return None if self.documents is None else self.documents - self.spans
+
+
+class _Counts:
+    """Observations on the one write of a day's edges."""
+
+    def __init__(self) -> None:
+        self.documents, self.spans, self.edges = None, Observation(), Observation()
+
+    def on_documents(self, docs: DataFrame) -> DataFrame:
+        self.documents = Observation()
+        return docs.observe(self.documents, F.count(F.lit(1)).alias("documents"))
+
+    def on_spans(self, spans: DataFrame) -> DataFrame:
+        null_ids = F.count_if(F.col("trace_id").isNull() | F.col("span_id").isNull())
+        return spans.observe(self.spans, F.count(F.lit(1)).alias("spans"), null_ids.alias("null_ids"))
+
+    def on_edges(self, edges: DataFrame) -> DataFrame:
+        calls = F.coalesce(F.sum("call_count"), F.lit(0))
+        return edges.observe(self.edges, F.count(F.lit(1)).alias("edges"), calls.alias("calls"))
+
+    def report(self) -> RunReport:
+        documents = _observed(self.documents, "documents")["documents"] if self.documents else None
+        return RunReport(documents, **_observed(self.spans, "spans", "null_ids"), **_observed(self.edges, "edges", "calls"))
+
+
+def _observed(observation: Observation, *names: str) -> dict[str, int]:
+    try:
+        return observation.get
+    except Py4JJavaError:
+        # There is no row of counts where Spark knew before running that the source is empty.
+        return dict.fromkeys(names, 0)
+
+
+@contextmanager
+def _whole_plans(spark: SparkSession) -> Iterator[None]:
+    """Stages found to be empty stay in the plan meanwhile: what was observed below them would be lost with them."""
+    key, rule = "spark.sql.adaptive.optimizer.excludedRules", "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, f"{before},{rule}" if before else rule)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def _store_edges(spark: SparkSession, job: DayJob, day: dt.date, spans: DataFrame, counts: _Counts) -> DataFrame:
     """Write the day's edges and read them back, so that nothing is derived twice."""
     path = edges_path(job, day)
-    derive(spans, job.peer_tag).write.mode("overwrite").parquet(path)
+    edges = counts.on_edges(derive(counts.on_spans(spans), job.peer_tag))
+    with _whole_plans(spark):
+        edges.write.mode("overwrite").parquet(path)
     return spark.read.schema(EDGE_SCHEMA).parquet(path)
 
 
@@ -82,44 +156,54 @@ def _dated(edges: DataFrame, day: dt.date) -> DataFrame:
     return edges.withColumn("dt", F.lit(day))
 
 
-def _run_json_docs(spark: SparkSession, job: DayJob, day: dt.date) -> DataFrame:
+def _run_json_docs(spark: SparkSession, job: DayJob, day: dt.date) -> tuple[DataFrame, RunReport]:
     """The first candidate partition with links is stored; none leaves no document."""
-    scan = job.scan
+    scan, reports = job.scan, {}
 
     def edges_of_candidates():
         for read_name, write_name in scan.names.candidates(day):
+            counts = _Counts()
             spans = read_json_docs(
-                spark, f"{job.input}/{read_name}", scan.now_millis, scan.range_millis, scan.mode
+                spark, f"{job.input}/{read_name}", scan.now_millis, scan.range_millis, scan.mode, counts.on_documents
             )
-            yield write_name, _store_edges(spark, job, day, spans)
+            edges = _store_edges(spark, job, day, spans, counts)
+            reports[write_name] = counts.report()
+            yield write_name, edges
 
     write_name, edges = first_with_rows(edges_of_candidates())
-    # An earlier run may have stored the day under any of the names.
-    for _, name in scan.names.candidates(day):
-        clear_documents(spark, f"{job.output}/{name}", day.isoformat())
     documents = day_documents(_dated(edges, day), job.label, job.parts)
     write_documents(documents, f"{job.output}/{write_name}")
-    return edges
+    # An earlier run may have stored the day under another of the names, or under this one if there are no links now.
+    for _, name in scan.names.candidates(day):
+        if name != write_name or not reports[name].edges:
+            clear_documents(spark, f"{job.output}/{name}", day.isoformat())
+    return edges, reports[write_name]
 
 
-def _run_span_table(spark: SparkSession, job: DayJob, day: dt.date) -> DataFrame:
+def _run_span_table(spark: SparkSession, job: DayJob, day: dt.date) -> tuple[DataFrame, RunReport]:
     """A record is stored also for a day without links."""
     spans = read_span_table(spark, job.input, day, job.scan.closed, dt_window=job.scan.dt_window)
-    edges = _store_edges(spark, job, day, spans)
+    counts = _Counts()
+    edges = _store_edges(spark, job, day, spans, counts)
     layout = job.layout or sink_layout(spark, f"{job.output}/dependencies_v2")
     days = spark.range(1).select(F.lit(day).alias("dt"))
     rows = day_rows(_dated(edges, day), days, job.label, layout, job.parts)
     write_rows(rows, f"{job.output}/dependencies_{layout}")
-    return edges
+    return edges, counts.report()
 
 
 SOURCES = {"json_docs": _run_json_docs, "span_table": _run_span_table}
 
 
-def run_day(spark: SparkSession, job: DayJob) -> DataFrame:
-    """Run one day and return its edge table, as stored."""
+def run_and_report(spark: SparkSession, job: DayJob) -> tuple[DataFrame, RunReport]:
+    """Run one day; its edge table, as stored, and what the run saw."""
     try:
         run = SOURCES[job.source.lower()]
     except KeyError:
         raise ValueError(f"unsupported source {job.source!r}; one of {sorted(SOURCES)}") from None
     return run(spark, job, parse_day(job.day))
+
+
+def run_day(spark: SparkSession, job: DayJob) -> DataFrame:
+    """Run one day and return its edge table, as stored."""
+    return run_and_report(spark, job)[0]

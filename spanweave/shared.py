@@ -36,14 +36,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def names_nothing(spark: SparkSession, path: str, error: Exception) -> bool:
+    """Whether reading path failed because nothing is there.
+
+    Also where the folder above can be read and the file system refuses the name in it for its colon, which some do: no
+    such name can be stored there.  Any other refusal means that the path itself is wrong.
+    """
+    if isinstance(error, AnalysisException):
+        return error.getCondition() == "PATH_NOT_FOUND"
+    above, _, name = path.rstrip("/").rpartition("/")
+    if not isinstance(error, IllegalArgumentException) or ":" not in name or not above.strip("/") or above.endswith((":", ":/")):
+        return False
+    exists(spark, above)
+    return True
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether the folder is there.  A name that the file system refuses is not."""
+    """Whether the folder is there."""
     try:
         spark.read.text(path)
-    except IllegalArgumentException:
-        return False
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+    except (AnalysisException, IllegalArgumentException) as error:
+        if not names_nothing(spark, path, error):
             raise
         return False
     return True

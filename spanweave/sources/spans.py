@@ -10,20 +10,18 @@ from pyspark.sql import types as T
 
 from spanweave.functions.days import in_day
 from spanweave.schema import CORRUPT, LEGACY_SPAN_SCHEMA, RAW_JSON_SCHEMA, SPAN_SCHEMA
-from spanweave.shared import exists
+from spanweave.shared import exists, names_nothing
 from spanweave.sources.decode import decode_docs, decode_rows
 
 RANGE_MILLIS = 24 * 3600 * 1000
 
 
-def or_empty(read: Callable[[], DataFrame], spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """A source that does not exist reads as empty, also one whose name the file system refuses."""
+def or_empty(read: Callable[[], DataFrame], spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A source that does not exist reads as empty; any other failure to read it stays one."""
     try:
         return read()
-    except IllegalArgumentException:
-        return spark.createDataFrame([], schema)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+    except (AnalysisException, IllegalArgumentException) as error:
+        if not names_nothing(spark, path, error):
             raise
         return spark.createDataFrame([], schema)
 
@@ -54,10 +52,13 @@ def read_span_table(
     if dt_window is not None and day is not None:
         folders = _folders(spark, path, day, dt_window)
         if not folders:
+            every = or_empty(lambda: reader.load(path), spark, path, LEGACY_SPAN_SCHEMA)
+            if every.inputFiles() and "dt" not in every.columns:
+                raise ValueError(f"dt_window needs a table with dt= folders, and {path} has none")
             return spark.createDataFrame([], schema)
         rows = reader.option("basePath", path).load(folders)
     else:
-        rows = or_empty(lambda: reader.load(path), spark, LEGACY_SPAN_SCHEMA)
+        rows = or_empty(lambda: reader.load(path), spark, path, LEGACY_SPAN_SCHEMA)
     if day is not None:
         rows = rows.filter(in_day(F.col("start_time"), day, closed))
     return decode_rows(rows).select(*schema.fieldNames())
@@ -69,7 +70,7 @@ def read_docs(spark: SparkSession, path: str, mode: str = "required") -> DataFra
     if mode == "permissive":
         schema, reader = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]), "PERMISSIVE"
     read = spark.read.schema(schema).option("mode", reader).option("columnNameOfCorruptRecord", CORRUPT)
-    return or_empty(lambda: read.json(path), spark, schema)
+    return or_empty(lambda: read.json(path), spark, path, schema)
 
 
 def in_range(now_millis: int | None, range_millis: int | None):
@@ -85,15 +86,16 @@ def read_json_docs(
     now_millis: int | None = None,
     range_millis: int | None = RANGE_MILLIS,
     mode: str = "required",
+    watch: Callable[[DataFrame], DataFrame] = lambda docs: docs,
 ) -> DataFrame:
     """Spans of a folder of documents.
 
     The range is relative to now, also when the folder holds a past day; `range_millis=None` reads
-    the whole folder.
+    the whole folder.  `watch` may put an observation on the documents in range.
     """
     if range_millis is not None and now_millis is None:
         now_millis = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1000)
-    return decode_docs(read_docs(spark, path, mode).filter(in_range(now_millis, range_millis)), mode)
+    return decode_docs(watch(read_docs(spark, path, mode).filter(in_range(now_millis, range_millis))), mode)
 
 
 def first_with_rows(results: Iterable[tuple[str, DataFrame]]) -> tuple[str | None, DataFrame | None]:

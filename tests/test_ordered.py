@@ -48,7 +48,7 @@ def test_filter_keeps_all_asked_for_and_few_others(spark):
 
 
 def test_a_crowded_filter_changes_nothing(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "_WORD", "0L")
+    monkeypatch.setattr(ordered, "FILTER_WORDS", 1)
     claims = spark.range(5000).selectExpr("'t' as trace_id", "id div 2 as span_id", "id as start_time", "concat('s', id % 2) as service", "if(id % 2 = 0, 'c', 's') as sides")
     ids = spark.range(100).selectExpr("'t' as trace_id", "id as span_id")
     assert ordered.ordered_shared_links(claims, ids).count() == 100
