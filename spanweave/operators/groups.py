@@ -64,8 +64,13 @@ def eligible_spans(narrow: DataFrame) -> DataFrame:
     They have references and a service, and are either alone under their id or client spans: of a
     shared id only the client side is the caller's child.
     """
-    clients = narrow.filter(f"client and {MAY_BE_CALLED}").select(
-        "trace_id", "span_id", "service", "refs", "peer"
+    # Outer forms, here and below: Spark would push a plain filter into the scan, and the branches would each scan again
+    # and not share the exchange of the distinct spans.
+    client = f"case when client and {MAY_BE_CALLED} then array(struct(service, refs, peer)) end"
+    clients = (
+        narrow.selectExpr("trace_id", "span_id", f"explode_outer({client}) as span")
+        .filter("span.service is not null")
+        .select("trace_id", "span_id", "span.*")
     )
     alone = (
         id_groups(narrow)
@@ -78,7 +83,7 @@ def eligible_spans(narrow: DataFrame) -> DataFrame:
 def leaf_spans(narrow: DataFrame) -> DataFrame:
     """Eligible spans whose id no span of the trace refers to, eligible or not."""
     referred = (
-        narrow.select("trace_id", F.explode("refs").alias("span_id"))
+        narrow.select("trace_id", F.explode_outer("refs").alias("span_id"))
         .filter(F.col("span_id").isNotNull())
         .distinct()
     )

@@ -4,6 +4,8 @@ import re
 
 from helpers import frame, kind, span
 from spanweave.operators.derive import derive
+from spanweave.operators.groups import leaf_spans
+from spanweave.operators.spans import narrow_spans
 
 
 def final_plan(df):
@@ -24,6 +26,11 @@ def test_spans_are_read_once(spark, tmp_path):
         assert "ReusedExchange" in plan
 
 
+def test_spans_are_read_once_for_leaves(spark, tmp_path):
+    plan = final_plan(leaf_spans(narrow_spans(stored(spark, str(tmp_path / "spans")))))
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
 def test_no_python_no_lists_no_cross_joins(spark, tmp_path):
     plan = final_plan(derive(stored(spark, str(tmp_path / "spans"))))
     for operator in ("Python", "Arrow", "collect_list", "CartesianProduct", "BroadcastNestedLoopJoin"):
