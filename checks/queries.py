@@ -27,7 +27,7 @@ from spanweave.operators.increment import apply_changes, edge_changes
 from spanweave.operators.groups import eligible_spans, leaf_spans, shared_groups
 from spanweave.operators.results import (
     adjacency_map,
-    difference,
+    stored_difference,
     read_documents,
     read_result,
     tree_edges,
@@ -37,7 +37,7 @@ from spanweave.operators.whole import derive_stored
 from spanweave.operators.trees import tree_spans, trees
 from spanweave.plans.day import DayJob, ScanOptions, run_day
 from spanweave.plans.publish import publish_day, published_edges
-from spanweave.shared import new_folder
+from spanweave.shared import new_folder, written
 from spanweave.sinks.records import day_documents, day_rows, sink_layout, write_documents, write_rows
 from spanweave.sinks.traces import TraceStore, read_traces, write_traces
 from spanweave.schema import RAW_JSON_SCHEMA
@@ -506,7 +506,7 @@ def read_document(spark, sf_dir):
 def assert_equal_query(spark, sf_dir):
     spans = spans_orders(spark, sf_dir)
     calls = count_calls(all_links(spans, kinds=(SHARED, PARENT)))
-    return difference(derive(_repeated_orders(spark, sf_dir)), calls)
+    return stored_difference(written(derive(_repeated_orders(spark, sf_dir)), "edges"), written(calls, "edges"))
 
 
 def _order_trees(spark, sf_dir):

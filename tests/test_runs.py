@@ -12,7 +12,7 @@ from spanweave import DayJob, ScanOptions, run_day
 from spanweave.__main__ import parse_args
 from spanweave.functions.days import day_start_micros
 from spanweave.operators.derive import derive
-from spanweave.operators.results import assert_equal, difference, tree_edges
+from spanweave.operators.results import assert_equal, difference, stored_difference, tree_edges
 from spanweave.operators.trees import tree_spans, trees
 from spanweave.sinks.records import day_documents, day_rows, sink_layout
 from spanweave.sources.names import NameRule
@@ -131,6 +131,22 @@ def test_a_day_moves_with_its_source(spark, tmp_path):
     assert stored(tmp_path, "p_dependencies-2024-01-15") == []
 
 
+@pytest.mark.parametrize("change", ["id", "if(id = 77777, null, id)", "if(id % 1000 = 3, id + 1, id)", "-id"])
+def test_stored_difference_is_the_difference(spark, change):
+    left = spark.range(100_000).selectExpr("id as n", "cast(id % 7 as string) as s", "array(id % 3) as a")
+    right = left.withColumnRenamed("n", "id").selectExpr(f"{change} as n", "s", "a").unionAll(left.filter("n = 5"))
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(stored_difference(left, right)) == rows(difference(left, right))
+
+
+def test_stored_difference_tells_places_of_nulls_and_repeats(spark):
+    left = spark.createDataFrame([(None, "a"), ("b", "b"), ("b", "b")], "x string, y string")
+    right = spark.createDataFrame([("a", None), ("b", "b")], "x string, y string")
+    found = {tuple(r) for r in stored_difference(left, right).collect()}
+    assert found == {(None, "a", 1), ("a", None, -1), ("b", "b", 1)}
+    assert stored_difference(left, left).isEmpty() and stored_difference(left.filter("false"), left.filter("false")).isEmpty()
+
+
 def test_difference_counts_repeats(spark):
     left = spark.createDataFrame([("a", 1), ("a", 1), ("b", None)], "x string, y int")
     right = spark.createDataFrame([("b", None), ("a", 1), ("c", 3)], "x string, y int")
