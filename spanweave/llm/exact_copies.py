@@ -99,7 +99,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = docs.withColumn(sha, text_sha256(text_col))
     cells = written(repeated_cells(keyed, sha, filter_bits), "filter")
     flagged = flag_repeated(keyed, sha, cells, flag, filter_bits)
-    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    # Maps have no hash in Spark; their JSON has.
+    hashable = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in kind else F.col(f"`{c}`") for c, kind in docs.dtypes]
+    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(*hashable))
     first = flagged.filter(F.col(flag)).groupBy(sha).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), order).alias("row"))
     return flagged.filter(~F.col(flag)).select(*(f"`{c}`" for c in docs.columns)).unionByName(first.select("row.*"))
 

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
 from spanweave.llm import (
     collocations,
     exact_copies,
@@ -82,16 +81,12 @@ def op13_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_sentencepieces, op2_importance, op3_katz, op4_token_files, op5_sharding, op6_mixing, op7_near_copies,
         op8_exact_copies, op9_outliers, op10_revisits, op11_collocations, op12_hard_negatives,
-        op13_licences, pipeline,
+        op13_licences,
     )
 }
 

@@ -45,19 +45,19 @@ def _buckets(cells: DataFrame, start: int, bits: int, limit: int) -> DataFrame:
 
 
 def shard_documents(
-    docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text", hash_col: str | None = None
 ) -> DataFrame:
     """id_col, bytes, shard (its prefix as bits), depth, shard_bytes, shard_docs, fits: a row per document.
 
     bytes is the UTF-8 length of the text, null and empty texts have none.  Rows alike in id and text stay together;
     if they, or one text, are larger than the limit, that shard holds nothing else and fits is false.  A null id is
-    hashed like an empty one.  No rows in, no rows out; other columns are not looked at.
+    hashed like an empty one.  hash_col may hold the rows' hashes, if they are known already.  No rows in, no rows out; other columns are not looked at.
     """
     rows = written(
         docs.select(
             F.col(id_col).alias("id"),
             F.octet_length(whole(text_col)).cast("long").alias("bytes"),
-            _hash(id_col, text_col).alias("hash"),
+            (F.col(hash_col) if hash_col else _hash(id_col, text_col)).alias("hash"),
         ),
         "hashed",
     )
@@ -100,11 +100,15 @@ def directory(sharded: DataFrame) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """docs as Parquet, a folder per shard, each with its documents in order of the id."""
+    """docs as Parquet, a folder per shard of `shard_documents`, each with its documents in order of the id, null first.
+
+    All rows and columns are kept, repeated rows too; without rows there is no folder.
+    """
     key, shard = fresh(docs, "_hash"), fresh(docs, "shard")
-    sharded = shard_documents(docs.withColumn(key, _hash(id_col, text_col)), limit, key, text_col)
-    places = sharded.groupBy(F.col(key)).agg(F.first("shard").alias(shard))
-    rows = docs.withColumn(key, _hash(id_col, text_col)).join(places, key).drop(key)
+    hashed = docs.withColumn(key, _hash(id_col, text_col))
+    # Rows of one hash lie in one shard.
+    places = shard_documents(hashed, limit, key, text_col, key).groupBy(F.col(key)).agg(F.first("shard").alias(shard))
+    rows = hashed.join(places, key).drop(key)
     rows.repartition(shard).sortWithinPartitions(shard, id_col).write.partitionBy(shard).parquet(path)
 
 

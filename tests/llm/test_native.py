@@ -71,6 +71,12 @@ def test_the_filter_finds_every_repeat_and_few_others(spark):
     assert flagged.count() < 2010
 
 
+def test_dropped_copies_with_maps(docs):
+    mapped = docs.withColumn("labels", F.create_map(F.lit("a"), "text"))
+    found = exact_copies.drop_copies(mapped)
+    assert found.columns == mapped.columns and found.count() == 5
+
+
 def test_dropped_copies_keep_all_columns(docs):
     found = exact_copies.drop_copies(docs)
     assert found.columns == docs.columns
@@ -147,6 +153,14 @@ def test_shards_of_odd_rows(docs, tmp_path):
     assert docs.sparkSession.read.parquet(str(tmp_path / "out")).count() == len(ROWS)
 
 
+def test_folders_are_the_shards_reported(spark, tmp_path):
+    rows = spark.range(300).selectExpr("id as doc_id", "repeat('x', cast(id % 90 as int)) as text")
+    shards.write_shards(rows, str(tmp_path / "out"), 1000)
+    told = {(r.doc_id, r.shard) for r in shards.shard_documents(rows, 1000).collect()}
+    kept = spark.read.schema("doc_id long, text string, shard string").parquet(str(tmp_path / "out"))
+    assert {(r.doc_id, r.shard) for r in kept.collect()} == told and len({shard for _, shard in told}) > 8
+
+
 RECORDS = "record_id long, type string, url string, time long, status int, headers map<string,string>, payload string"
 
 
