@@ -6,12 +6,14 @@ into the bin of the round.  A coordinate is the least value of its bin, so every
 of two sets agree is concentrated around their similarity.  Bands of ROWS coordinates make buckets; two sets with a
 similarity of exactly 0.75 share none of BANDS buckets with a chance of 4 in a million.
 
-Documents with one set are a class; from there on a class counts once.  Pairs of a bucket are confirmed on the full sets
-in rounds, so that a group of m copies costs about m confirmations and not m * m.  First every class is compared with the
-least of all classes it shares a bucket with.  Where a bucket then still holds several components, its classes are
-compared with a few of its members.  What is left is compared pair by pair, but for pairs that are connected by then and
-pairs that counts rule out: one set has too few elements that occur anywhere else, or too few of the coordinates agree.
-So a pair of a bucket is confirmed, refuted, connected already, or ruled out.
+Documents with one set are a class; from there on a class counts once, and its set is built once.  Pairs of a bucket are
+confirmed on the full sets in rounds, so that a group of m copies costs about m confirmations and not m * m.  First every
+class is compared with the least of all classes it shares a bucket with.  Where a bucket then still holds several
+components, classes with too few elements that occur anywhere else leave; in each of ROUNDS rounds every bucket names a
+member, and a class is compared with the one that most of its buckets name.  What is left is joined by prefix filtering:
+two similar sets share one of their rarest elements, the smaller set within its first seventh, the larger one within its
+first quarter.  Of the classes that share such an element those of its largest component are not paired among themselves.
+So a pair of a bucket is confirmed, refuted, connected already, or ruled out by counts or by the sketches.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +36,7 @@ WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 64, 6
 BINS = BANDS * ROWS
-PIVOTS = 3
+ROUNDS = 3
 #: Of the coordinates' last four bits so many agree, but for a chance of 1 in 10 million, when two sets are similar.
 LEAST_AGREEING = 250
 
@@ -112,37 +114,36 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for elements in shingle_sets(batch.column(1)):
             coordinates = sketch(elements) if len(elements) else elements
             sizes.append(len(elements))
-            classes.append(int(scramble(scramble(elements).sum(dtype=np.uint64, keepdims=True))[0]))
+            classes.append(_class_of(elements))
             bands.append(band_keys(coordinates) if len(elements) else elements)
             bits.append(last_bits(coordinates) if len(elements) else elements)
         columns = [batch.column(0), _signed(classes), pa.array(sizes, pa.int64()), _lists(bands), _lists(bits)]
         yield pa.RecordBatch.from_arrays(columns, ["id", "class", "size", "bands", "bits"])
 
 
-@F.arrow_udf(T.LongType())
-def class_of(texts: pa.Array) -> pa.Array:
-    return _signed([int(scramble(scramble(s).sum(dtype=np.uint64, keepdims=True))[0]) for s in shingle_sets(texts)])
+def _class_of(elements: np.ndarray) -> int:
+    return int(scramble(scramble(elements).sum(dtype=np.uint64, keepdims=True))[0])
 
 
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def elements_of(texts: pa.Array) -> pa.Array:
-    return _lists(list(shingle_sets(texts)))
+def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = list(shingle_sets(batch.column(1)))
+        columns = [batch.column(0), _signed([_class_of(s) for s in sets]), _lists(sets)]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "class", "elements"])
 
 
-@F.arrow_udf(T.BooleanType())
-def similar(one: pa.Array, other: pa.Array) -> pa.Array:
-    found = []
-    for a, b in zip(shingle_sets(one), shingle_sets(other), strict=True):
-        shared = len(np.intersect1d(a, b, assume_unique=True))
-        found.append(100 * shared >= PERCENT * (len(a) + len(b) - shared))
-    return pa.array(found, pa.bool_())
+@F.arrow_udf(T.LongType())
+def class_of(texts: pa.Array) -> pa.Array:
+    return _signed([_class_of(s) for s in shingle_sets(texts)])
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar, on their full sets."""
-    left = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
-    return pairs.select("a", "b").join(right, "b").join(left, "a").filter(similar("text_a", "text_b")).select("a", "b")
+    left = sets.select(F.col("class").alias("a"), F.col("elements").alias("set_a"))
+    right = sets.select(F.col("class").alias("b"), F.col("elements").alias("set_b"))
+    both = pairs.select("a", "b").join(right, "b").join(left, "a")
+    counts = both.select("a", "b", F.size("set_a").alias("m"), F.size("set_b").alias("n"), F.size(F.array_intersect("set_a", "set_b")).alias("s"))
+    return counts.filter(f"100L * s >= {PERCENT}L * (m + n - s)").select("a", "b")
 
 
 def _fits(one: str, other: str) -> str:
@@ -150,6 +151,13 @@ def _fits(one: str, other: str) -> str:
     return f"100 * least({one}, {other}) >= {PERCENT} * greatest({one}, {other})"
 
 
+def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that share a bucket and whose sketches do not rule them out."""
+    left, right = (classes.select(F.col("class").alias(c), F.struct("bits", "bands").alias(f"of_{c}")) for c in "ab")
+    both = pairs.join(left, "a").join(right, "b")
+    return both.filter(f"{_agreeing('of_a.bits', 'of_b.bits')} >= {LEAST_AGREEING} AND arrays_overlap(of_a.bands, of_b.bands)").select("a", "b")
+
+
 def class_links(docs: DataFrame, sketches: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, label): the components of the classes that have links."""
     classes = written(sketches.filter("size > 0").dropDuplicates(["class"]).select("class", "size", "bands", "bits"), "classes")
@@ -160,70 +168,88 @@ def class_links(docs: DataFrame, sketches: DataFrame, id_col: str, text_col: str
     buckets = written(buckets.filter("pivot < last").select("key", "pivot", "pivot_size"), "buckets")
     members = written(rows.join(buckets, "key"), "members")
 
-    near = lambda a, b: f"{_agreeing(a, b)} >= {LEAST_AGREEING}"
-    texts = _texts(docs, sketches, members.select("class").distinct(), id_col, text_col)
+    sets = _sets(docs, sketches, members.select("class").distinct(), id_col, text_col)
     first = members.filter("class <> pivot AND " + _fits("size", "pivot_size")).groupBy(F.col("class").alias("b"))
-    labels = written(components(_confirmed(first.agg(F.min("pivot").alias("a")), texts)), "labels")
-
-    split = _split(members, labels, classes)
-    pivots = [
-        F.min(F.struct(F.xxhash64("class", F.lit(i)).alias("h"), "class", "size", "label", "bits")).alias(f"p{i}") for i in range(PIVOTS)
-    ]
-    chosen = written(split.groupBy("key").agg(*pivots), "pivots")
-    chosen = chosen.select("key", F.explode(F.array(*(f"p{i}" for i in range(PIVOTS)))).alias("p"))
-    stars = split.join(chosen, "key").filter(f"label <> p.label AND {_fits('size', 'p.size')} AND {near('bits', 'p.bits')}")
-    stars = stars.select(F.least("class", "p.class").alias("a"), F.greatest("class", "p.class").alias("b")).distinct()
-    labels = written(components(_edges(labels).unionByName(_confirmed(stars, texts))), "labels")
-
-    split = _split(members, labels, classes)
-    known = _known_shingles(split, texts)
-    split = written(split.join(known, "class"), "split")
-    columns = ("class", "size", "known", "label", "bits", "bands")
-    one, other = (split.select("key", *(F.col(c).alias(f"{c}_{i}") for c in columns)) for i in (1, 2))
-    # Two similar sets share so much that each must have as many elements which some other set has, too.
-    enough = f"{100 + PERCENT} * least(known_1, known_2) >= {PERCENT} * (size_1 + size_2)"
-    once = "element_at(array_intersect(bands_1, bands_2), 1) = one.key"  # not in every bucket that they share
-    checks = f"label_1 < label_2 AND {_fits('size_1', 'size_2')} AND {enough} AND {near('bits_1', 'bits_2')} AND {once}"
-    pairs = one.alias("one").join(other.alias("other"), F.expr(f"one.key = other.key AND {checks}"))
-    pairs = pairs.select(F.col("class_1").alias("a"), F.col("class_2").alias("b"))
-    return components(_edges(labels).unionByName(_confirmed(pairs, texts)))
-
-
-def _split(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one component: (key, class, size, label, bits, bands)."""
-    named = members.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
-        "key", "class", "size", F.coalesce("label", "class").alias("label")
-    )
-    named = written(named, "named")
+    labels = written(components(_confirmed(first.agg(F.min("pivot").alias("a")), sets)), "labels")
+
+    split = _split(members.select("key", "class", "size"), labels)
+    shared = _shared_elements(split, sets)
+    known = shared.groupBy("class").agg(F.count("*").alias("known"))
+    # A partner has at least PERCENT of its size, so at least PERCENT of its elements must occur elsewhere.
+    split = written(split.join(known, "class").filter(f"100 * known >= {PERCENT} * size"), "able")
+    for i in range(ROUNDS):
+        named = split.groupBy("key").agg(F.min(F.struct(F.xxhash64("class", F.lit(i)).alias("h"), "class", "size", "known", "label")).alias("p"))
+        checks = f"label <> p.label AND {_fits('size', 'p.size')} AND {_enough('size', 'known', 'p.size', 'p.known')}"
+        often = split.join(written(named, "named"), "key").filter(checks).groupBy("class", F.col("p.class").alias("other")).agg(F.count("*").alias("n"))
+        chosen = often.groupBy("class").agg(F.max(F.struct("n", "other")).alias("most"))
+        stars = written(chosen.select(F.least("class", "most.other").alias("a"), F.greatest("class", "most.other").alias("b")).distinct(), "stars")
+        labels = written(components(_edges(labels).unionByName(_confirmed(_near(stars, classes), sets))), "labels")
+        split = _split(split.select("key", "class", "size", "known"), labels)
+
+    pairs = written(_prefix_pairs(split, shared), "pairs")
+    return components(_edges(labels).unionByName(_confirmed(_near(pairs, classes), sets)))
+
+
+def _enough(size: str, known: str, other_size: str, other_known: str) -> str:
+    """Two similar sets share so much that each must have as many elements which some other set has, too."""
+    return f"{100 + PERCENT} * least({known}, {other_known}) >= {PERCENT} * ({size} + {other_size})"
+
+
+def _split(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component, with their present label."""
+    named = members.join(labels.withColumnRenamed("node", "class"), "class", "left")
+    named = written(named.withColumn("label", F.coalesce("label", "class")), "named")
     keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    split = named.join(written(keys.select("key"), "keys"), "key", "left_semi")
-    return written(split.join(classes.drop("size"), "class"), "split")
+    return written(named.join(written(keys.select("key"), "keys"), "key", "left_semi"), "split")
+
 
+def _shared_elements(split: DataFrame, sets: DataFrame) -> DataFrame:
+    """(class, element, n): the elements that n > 1 classes of split have."""
+    own = sets.join(split.select("class").distinct(), "class", "left_semi")
+    elements = written(own.select("class", F.explode("elements").alias("element")), "elements")
+    counts = written(elements.groupBy("element").agg(F.count("*").alias("n")).filter("n > 1"), "counts")
+    return written(elements.join(counts, "element").select("class", "element", "n"), "shared")
 
-def _known_shingles(split: DataFrame, texts: DataFrame) -> DataFrame:
-    """(class, known): how many elements of its set some other class of split has as well."""
-    sets = texts.join(split.select("class").distinct(), "class", "left_semi")
-    elements = written(sets.select("class", F.explode(elements_of("text")).alias("element")), "elements")
-    counts = written(elements.groupBy("element").agg(F.count("*").alias("n")).filter("n > 1").select("element"), "shared")
-    shared = elements.join(counts, "element", "left_semi").groupBy("class").agg(F.count("*").alias("known"))
-    return shared
+
+def _prefix_pairs(split: DataFrame, shared: DataFrame) -> DataFrame:
+    """(a, b): classes of split with two labels that may be similar, by the rarest elements of their sets.
+
+    Elements are in the order of how many classes have them.  Those that one class alone has come first and are left out:
+    the prefixes are shorter by their number.  The smaller set (at one size, the smaller class) shares at least
+    2 * PERCENT / (100 + PERCENT) of its elements, the larger one at least PERCENT of them.
+    """
+    left = split.groupBy("class").agg(F.first("size").alias("size"), F.first("known").alias("known"), F.first("label").alias("label"))
+    order = Window.partitionBy("class").orderBy("n", "element")
+    ranked = shared.join(written(left, "left"), "class").withColumn("place", F.row_number().over(order))
+    ranked = ranked.filter(f"place <= known - ceil({PERCENT} * size / 100) + 1")
+    rows = ranked.select("element", "class", "size", "known", "label", F.expr(f"place <= known - ceil({2 * PERCENT} * size / {100 + PERCENT}) + 1").alias("early"))
+    rows = written(rows, "prefixes")
+    per_label = rows.groupBy("element", "label").agg(F.count("*").alias("m"))
+    main = per_label.groupBy("element").agg(F.max(F.struct("m", "label")).alias("most"), F.count("*").alias("labels")).filter("labels > 1")
+    rows = written(rows.join(written(main.select("element", F.col("most.label").alias("main")), "main"), "element"), "postings")
+    columns = ("class", "size", "known", "label", "early", "main")
+    one, other = (rows.select("element", *(F.col(c).alias(f"{c}_{i}") for c in columns)) for i in (1, 2))
+    smaller = "CASE WHEN (size_1, class_1) < (size_2, class_2) THEN early_1 ELSE early_2 END"
+    once = "(label_2 = main_2 OR label_1 < label_2)"
+    checks = f"label_1 <> label_2 AND {once} AND {smaller} AND {_fits('size_1', 'size_2')} AND {_enough('size_1', 'known_1', 'size_2', 'known_2')}"
+    pairs = one.filter("label_1 <> main_1").join(other, "element").filter(checks)
+    return pairs.select(F.least("class_1", "class_2").alias("a"), F.greatest("class_1", "class_2").alias("b")).distinct()
 
 
 def _edges(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
 
 
-def _texts(docs: DataFrame, sketches: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(class, text) of the wanted classes.  A Bloom filter on the ids keeps the other texts out of the shuffle."""
+def _sets(docs: DataFrame, sketches: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(class, elements) of the wanted classes.  A Bloom filter on the ids keeps the other texts out of the workers."""
     first = sketches.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("id").alias("id"), F.count("id").alias("n"))
     ids = written(first, "wanted")
-    nameless = ids.filter("n = 0").select("class")  # only rows without an id have this set
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     maybe = flag_repeated(rows, "id", written(cells_of(ids.filter("n > 0"), "id"), "filter"), "maybe").filter("maybe OR id IS NULL")
-    found = maybe.withColumn("class", class_of("text"))
-    known = found.join(ids.filter("n > 0").select("class", "id"), ["class", "id"]).select("class", "text")
-    other = found.filter("id IS NULL").join(nameless, "class").select("class", "text")
-    return written(known.unionByName(other).dropDuplicates(["class"]), "texts")
+    id_type = dict(rows.dtypes)["id"]
+    found = maybe.select("id", "text").mapInArrow(_set_batches, f"id {id_type}, class long, elements array<long>")
+    named = found.join(ids.withColumnRenamed("id", "first"), "class").filter("first = id OR (n = 0 AND id IS NULL)")
+    return written(named.select("class", "elements").dropDuplicates(["class"]), "sets")
 
 
 def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
