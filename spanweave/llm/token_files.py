@@ -54,14 +54,14 @@ class Words:
     word's letters go to the tokenizer's merge model as they are, the rest goes to the tokenizer.  Other texts go to it whole.
     """
 
-    odd = re.compile(r" (?:\s|$)")
     letters = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+(?=[\x00-@\\[-`{-\x7f]|$)")
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        strings = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([r" (?:\s|$)", *strings]))  # texts with an added token go to the tokenizer whole
         self.model = self.tokenizer.model
         self.alphabet = _byte_alphabet()
         self.space = self.alphabet[32]

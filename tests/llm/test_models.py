@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import tokenizers
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -154,15 +155,15 @@ def test_token_files_against_the_tokenizer(spark, sf, tmp_path, monkeypatch, blo
     monkeypatch.setattr(token_files, "BLOCK", block)
     with open(public_tokenizers.path("byte_bpe_50k.json")) as file:
         tokenizer = file.read()
-    words = token_files.Words(tokenizer)
+    library = tokenizers.Tokenizer.from_str(tokenizer)
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    more = spark.createDataFrame([(1000 + i, t) for i, t in enumerate([None, *ODD, "it's 'tis <|endoftext|> x", "été's naïve²x ½a x½ don't (see) +1 é́x āb ﬁ Ⅳ ʼn"])], docs.schema)
+    more = spark.createDataFrame([(1000 + i, t) for i, t in enumerate([None, *ODD, "it's 'tis <|endoftext|> x", "hello <|endoftext|> world", "a<|endoftext|>b <|endoftext|>", "été's naïve²x ½a x½ don't (see) +1 é́x āb ﬁ Ⅳ ʼn"])], docs.schema)
     docs = docs.unionByName(more)
     token_files.write_token_files(docs, str(tmp_path / "t"), tokenizer)
     found = {r.doc_id: r for r in token_files.read_token_files(spark, str(tmp_path / "t")).collect()}
     start = 0
     for row in sorted(docs.collect(), key=lambda r: r.doc_id):
-        ids = [*words.tokenizer.encode(row.text or "", add_special_tokens=False).ids, 0]
+        ids = [*library.encode(row.text or "", add_special_tokens=False).ids, 0]
         crc = zlib.crc32(np.array(ids, "<u4").tobytes())
         own = found[row.doc_id]
         assert (own.start, own.n_tokens, own.ids_crc32) == (start, len(ids), crc)

@@ -35,6 +35,19 @@ def test_long_texts_take_their_own_chunk():
     assert (found[0] == found[2]).all() and len(set(found[1])) == 1
 
 
+def test_words_whose_letters_alternate_to_cancel_are_apart():
+    flip = str.maketrans("ab", "ba")
+    one = "a"
+    while len(one) < 1 << 13:
+        one += one.translate(flip)
+        texts = pa.array([f"{w} x y z end" for w in (one, one.translate(flip))])
+        sets = list(near_copies.shingle_sets(texts))
+        assert len(sets[0]) == len(sets[1]) == 1 and sets[0][0] != sets[1][0]
+        for data, bounds in hashing.text_chunks(texts):
+            hashes, starts = hashing.token_hashes(data, bounds)
+            assert hashes[0] != hashes[starts[1]] and (hashes[1:5] == hashes[starts[1] + 1 :]).all()
+
+
 def test_shingle_sets():
     for text, found in zip(TEXTS, near_copies.shingle_sets(pa.array(TEXTS))):
         assert len(found) == len(plain.shingles(text))
