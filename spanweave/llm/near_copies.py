@@ -11,8 +11,8 @@ confirmed on the full sets in rounds, so that a group of m copies costs about m
 class is compared with the least of all classes it shares a bucket with.  Where a bucket then still holds several
 components, classes with too few elements that occur anywhere else leave; in each of ROUNDS rounds every bucket names a
 member, and a class is compared with the one that most of its buckets name.  What is left is joined by prefix filtering:
-two similar sets share one of their rarest elements, the smaller set within its first seventh, the larger one within its
-first quarter.  Of the classes that share such an element those of its largest component are not paired among themselves.
+two similar sets share one of their rarest elements, and the first they share comes early in both: within a seventh of sets
+of one size.  Of the classes that share such an element those of its largest component are not paired among themselves.
 So a pair of a bucket is confirmed, refuted, connected already, or ruled out by counts or by the sketches.
 """
 
@@ -211,28 +211,52 @@ def _shared_elements(split: DataFrame, sets: DataFrame) -> DataFrame:
     return written(elements.join(counts, "element").select("class", "element", "n"), "shared")
 
 
+def _shared_at_least(one: str, other: str) -> str:
+    """SQL: how many elements two sets of these sizes share at least, when they are similar."""
+    return f"((({one}) + ({other})) * {PERCENT}L + {99 + PERCENT}L) div {100 + PERCENT}L"
+
+
+def _size_step(size: str) -> str:
+    """SQL: the number of a range of sizes; a range is at most a sixteenth wide, and sizes below 32 have one each."""
+    shift = f"greatest(0, length(bin({size})) - 5)"
+    return f"({shift} * 16 + shiftright({size}, {shift}))"
+
+
+_LEAST_OF_STEP = "CASE WHEN step < 32 THEN step ELSE shiftleft(step - 16 * (step div 16 - 1), CAST(step div 16 - 1 AS INT)) END"
+
+
 def _prefix_pairs(split: DataFrame, shared: DataFrame) -> DataFrame:
     """(a, b): classes of split with two labels that may be similar, by the rarest elements of their sets.
 
-    Elements are in the order of how many classes have them.  Those that one class alone has come first and are left out:
-    the prefixes are shorter by their number.  The smaller set (at one size, the smaller class) shares at least
-    2 * PERCENT / (100 + PERCENT) of its elements, the larger one at least PERCENT of them.
+    Elements are in the order of how many classes have them.  Those that one class alone has come first and are left out.
+    Two similar sets share so many elements that the first they share leaves room, in both, for the rest: what it must
+    leave depends on both sizes.  So a set looks for larger partners by a prefix for its own size, and for smaller ones
+    by one prefix per range of sizes: common elements, which all sets of a large group have, are beyond these prefixes.
     """
     left = split.groupBy("class").agg(F.first("size").alias("size"), F.first("known").alias("known"), F.first("label").alias("label"))
     order = Window.partitionBy("class").orderBy("n", "element")
     ranked = shared.join(written(left, "left"), "class").withColumn("place", F.row_number().over(order))
-    ranked = ranked.filter(f"place <= known - ceil({PERCENT} * size / 100) + 1")
-    rows = ranked.select("element", "class", "size", "known", "label", F.expr(f"place <= known - ceil({2 * PERCENT} * size / {100 + PERCENT}) + 1").alias("early"))
-    rows = written(rows, "prefixes")
-    per_label = rows.groupBy("element", "label").agg(F.count("*").alias("m"))
-    main = per_label.groupBy("element").agg(F.max(F.struct("m", "label")).alias("most"), F.count("*").alias("labels")).filter("labels > 1")
-    rows = written(rows.join(written(main.select("element", F.col("most.label").alias("main")), "main"), "element"), "postings")
-    columns = ("class", "size", "known", "label", "early", "main")
-    one, other = (rows.select("element", *(F.col(c).alias(f"{c}_{i}") for c in columns)) for i in (1, 2))
-    smaller = "CASE WHEN (size_1, class_1) < (size_2, class_2) THEN early_1 ELSE early_2 END"
-    once = "(label_2 = main_2 OR label_1 < label_2)"
-    checks = f"label_1 <> label_2 AND {once} AND {smaller} AND {_fits('size_1', 'size_2')} AND {_enough('size_1', 'known_1', 'size_2', 'known_2')}"
-    pairs = one.filter("label_1 <> main_1").join(other, "element").filter(checks)
+    smallest = f"(size * {PERCENT}L + 99L) div 100"
+    ranked = ranked.filter(f"place <= known - {smallest} + 1").drop("n")
+    small = ranked.withColumn("step", F.expr(_size_step("size"))).filter(f"place <= known - {_shared_at_least('size', 'size')} + 1")
+    steps = f"explode(sequence({_size_step(smallest)}, {_size_step('size')}))"
+    large = ranked.withColumn("step", F.expr(steps))
+    large = large.filter(f"place <= known - {_shared_at_least('size', f'greatest({smallest}, {_LEAST_OF_STEP})')} + 1")
+    rows = written(small.withColumn("role", F.lit("small")).unionByName(large.withColumn("role", F.lit("large"))), "prefixes")
+    per_label = rows.groupBy("element", "step", "label").agg(F.count("*").alias("m"))
+    main = per_label.groupBy("element", "step").agg(F.max(F.struct("m", "label")).alias("most"), F.count("*").alias("labels"))
+    main = written(main.filter("labels > 1").select("element", "step", F.col("most.label").alias("main")), "main")
+    rows = written(rows.join(main, ["element", "step"]).withColumn("in_main", F.expr("label = main")).drop("main"), "postings")
+    columns = ("class", "size", "known", "label", "place", "in_main")
+    one, other = (
+        rows.filter(F.col("role") == role).select("element", "step", *(F.col(c).alias(f"{c}_{i}") for c in columns))
+        for i, role in ((1, "small"), (2, "large"))
+    )
+    least = _shared_at_least("size_1", "size_2")
+    room = f"least(known_1 - place_1, known_2 - place_2) + 1 >= {least}"
+    checks = f"(size_1, class_1) < (size_2, class_2) AND label_1 <> label_2 AND {_fits('size_1', 'size_2')} AND {room}"
+    pairs = one.filter("NOT in_main_1").join(other, ["element", "step"]).filter(checks)
+    pairs = pairs.unionByName(one.filter("in_main_1").join(other.filter("NOT in_main_2"), ["element", "step"]).filter(checks))
     return pairs.select(F.least("class_1", "class_2").alias("a"), F.greatest("class_1", "class_2").alias("b")).distinct()
 
 

@@ -103,6 +103,46 @@ def test_near_copies_against_all_pairs(spark):
     assert sorted(r.doc_id for r in left.collect()) == sorted(i for i, (_, c) in expected.items() if i == c)
 
 
+def prefix_pairs(spark, sets, labels):
+    """The pairs that prefix filtering leaves, and those that are similar, of sets with different labels."""
+    owners = {}
+    for i, elements in enumerate(sets):
+        for e in elements:
+            owners.setdefault(e, []).append(i)
+    shared = [(i, e, len(own)) for e, own in owners.items() if len(own) > 1 for i in own]
+    known = np.bincount([i for i, _, _ in shared], minlength=len(sets))
+    rows = [(0, i, len(s), int(known[i]), labels[i]) for i, s in enumerate(sets)]
+    split = spark.createDataFrame(rows, "key long, class long, size long, known long, label long")
+    found = near_copies._prefix_pairs(split, spark.createDataFrame(shared, "class long, element long, n long"))
+    links = {
+        (i, j) for j in range(len(sets)) for i in range(j)
+        if labels[i] != labels[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])
+    }
+    return {(r.a, r.b) for r in found.collect()}, links
+
+
+def test_prefix_pairs_hold_every_link(spark):
+    rng = np.random.default_rng(5)
+    base, sets = np.arange(140), []
+    for i in range(150):  # a group around one base, of many sizes: some lose much of it, some add much
+        kept = rng.permutation(base)[: rng.integers(95, 141)]
+        sets.append({*kept.tolist(), *(1000 + rng.integers(0, 300, rng.integers(0, 30))).tolist()})
+    sets += [set(range(5000, 5000 + n)) for n in (1, 2, 3, 4, 27, 30, 31, 33, 40, 41, 43, 64)]
+    for labels in (list(range(len(sets))), [i % 3 if i < 100 else i for i in range(len(sets))]):
+        found, links = prefix_pairs(spark, sets, labels)
+        assert found >= links and len(links) > 100
+
+
+def test_prefix_pairs_of_a_group_without_links_are_few(spark):
+    rng = np.random.default_rng(6)
+    base, sets = np.arange(140), []
+    for i in range(300):  # all 44,850 pairs share common elements
+        kept = rng.permutation(base)[: rng.integers(70, 120)].tolist()
+        sets.append({*kept, *range(1000 * (i + 1), 1000 * (i + 1) + 140 - len(kept))})
+    found, links = prefix_pairs(spark, sets, list(range(len(sets))))
+    assert found >= links and len(found) < len(sets)
+
+
 def test_near_copies_with_odd_ids(spark):
     base = " ".join(f"w{i}" for i in range(100))
     rows = [(None, base), (3, base + " end"), (3, "other text that is alone here"), (4, base), (4, base), (None, "quite alone it stands here")]
