@@ -10,7 +10,8 @@ Documents with one set are a class; from there on a class counts once, and its s
 confirmed on the full sets in rounds, so that a group of m copies costs about m confirmations and not m * m.  First every
 class is compared with the least of all classes it shares a bucket with.  Where a bucket then still holds several
 components, classes with too few elements that occur anywhere else leave; in each of ROUNDS rounds every bucket names a
-member, and a class is compared with the one that most of its buckets name.  What is left is joined by prefix filtering:
+member, first the one with most elements that occur elsewhere, and a class is compared with the one that most of its
+buckets name.  What is left is joined by prefix filtering:
 two similar sets share one of their rarest elements, and the first they share comes early in both: within a seventh of sets
 of one size.  Of the classes that share such an element those of its largest component are not paired among themselves.
 So a pair of a bucket is confirmed, refuted, connected already, or ruled out by counts or by the sketches.
@@ -178,7 +179,10 @@ def class_links(docs: DataFrame, sketches: DataFrame, id_col: str, text_col: str
     # A partner has at least PERCENT of its size, so at least PERCENT of its elements must occur elsewhere.
     split = written(split.join(known, "class").filter(f"100 * known >= {PERCENT} * size"), "able")
     for i in range(ROUNDS):
-        named = split.groupBy("key").agg(F.min(F.struct(F.xxhash64("class", F.lit(i)).alias("h"), "class", "size", "known", "label")).alias("p"))
+        # First a member in the middle of its group, most of whose elements others have; then any, by chance.
+        rank = -F.col("known") if i == 0 else F.lit(0)
+        by = F.struct(rank.alias("rank"), F.xxhash64("class", "key", F.lit(i)).alias("h"), "class", "size", "known", "label")
+        named = split.groupBy("key").agg(F.min(by).alias("p"))
         checks = f"label <> p.label AND {_fits('size', 'p.size')} AND {_enough('size', 'known', 'p.size', 'p.known')}"
         often = split.join(written(named, "named"), "key").filter(checks).groupBy("class", F.col("p.class").alias("other")).agg(F.count("*").alias("n"))
         chosen = often.groupBy("class").agg(F.max(F.struct("n", "other")).alias("most"))
