@@ -22,9 +22,9 @@ from spanweave.functions.tags import (
     sort_tags,
     tag_value,
 )
-from spanweave.operators.derive import KINDS, PARENT, PEER, SHARED, all_links, count_calls, derive
+from spanweave.operators.derive import KINDS, PARENT, PEER, SHARED, count_calls, derive
 from spanweave.operators.increment import apply_changes, edge_changes
-from spanweave.operators.groups import eligible_spans, leaf_spans, shared_groups
+from spanweave.operators.groups import eligible_spans
 from spanweave.operators.results import (
     adjacency_map,
     stored_difference,
@@ -32,8 +32,8 @@ from spanweave.operators.results import (
     read_result,
     tree_edges,
 )
-from spanweave.operators.spans import dedup_spans, narrow_spans, trace_groups
-from spanweave.operators.whole import derive_stored
+from spanweave.operators.spans import dedup_spans, narrow_spans
+from spanweave.operators.whole import counted_groups, counted_leaves, counted_links, counted_traces, derive_counted, derive_stored
 from spanweave.operators.trees import tree_spans, trees
 from spanweave.plans.day import DayJob, ScanOptions, run_day
 from spanweave.plans.publish import publish_day, published_edges
@@ -117,7 +117,7 @@ def stored_docs(spans: DataFrame, folder: str) -> str:
 
 def _kind_links(spans: DataFrame, kinds=KINDS) -> DataFrame:
     return (
-        all_links(spans, kinds=kinds)
+        counted_links(spans, kinds=kinds)
         .groupBy("kind", "parent", "child")
         .agg(F.sum("weight").alias("links"))
     )
@@ -346,7 +346,7 @@ def legacy_parent(spark, sf_dir):
 
 
 def legacy_dependencies(spark, sf_dir):
-    return derive(_with_parents(spark, sf_dir))
+    return derive_counted(_with_parents(spark, sf_dir))
 
 
 def norm_trace_id(spark, sf_dir):
@@ -413,7 +413,7 @@ def _tied_orders(spark, sf_dir):
 
 
 def trace_groups_query(spark, sf_dir):
-    return trace_groups(_repeated_orders(spark, sf_dir))
+    return counted_traces(_repeated_orders(spark, sf_dir))
 
 
 def dedup_spans_query(spark, sf_dir):
@@ -421,7 +421,7 @@ def dedup_spans_query(spark, sf_dir):
 
 
 def shared_groups_query(spark, sf_dir):
-    return shared_groups(narrow_spans(_repeated_orders(spark, sf_dir)))
+    return counted_groups(_repeated_orders(spark, sf_dir))
 
 
 def _show_eligible(spans: DataFrame) -> DataFrame:
@@ -435,7 +435,7 @@ def eligible_spans_query(spark, sf_dir):
 
 
 def leaf_spans_query(spark, sf_dir):
-    return _show_eligible(leaf_spans(narrow_spans(_repeated_orders(spark, sf_dir))))
+    return _show_eligible(counted_leaves(_repeated_orders(spark, sf_dir)))
 
 
 def stored_dependencies(spark, sf_dir):
@@ -452,7 +452,7 @@ def late_spans(spark, sf_dir):
     spans = spark.read.parquet(f"{folder}/spans")
     late = F.expr("endswith(trace_id, '5') and span_id % 3 <> 1")
     stored = spans.filter(~late)
-    derive(stored).write.parquet(f"{folder}/edges")
+    derive_counted(stored).write.parquet(f"{folder}/edges")
     return apply_changes(spark.read.parquet(f"{folder}/edges"), edge_changes(stored, spans.filter(late)))
 
 
@@ -488,14 +488,14 @@ def sink_v1(spark, sf_dir):
 
 
 def adjacency_map_query(spark, sf_dir):
-    maps = adjacency_map(derive(spans_orders(spark, sf_dir)))
+    maps = adjacency_map(derive_counted(spans_orders(spark, sf_dir)))
     return maps.select("parent", F.explode("children").alias("child", "call_count"))
 
 
 def read_document(spark, sf_dir):
     link = F.struct("parent", "child", F.col("call_count").alias("callCount"), F.lit(1).alias("extra"))
     answers = (
-        derive(spans_orders(spark, sf_dir))
+        derive_counted(spans_orders(spark, sf_dir))
         .groupBy("parent")
         .agg(F.collect_list(link).alias("data"))
         .select(F.to_json(F.struct("data", F.lit(0).alias("total"), F.lit(None).alias("errors"))).alias("value"))
@@ -505,8 +505,8 @@ def read_document(spark, sf_dir):
 
 def assert_equal_query(spark, sf_dir):
     spans = spans_orders(spark, sf_dir)
-    calls = count_calls(all_links(spans, kinds=(SHARED, PARENT)))
-    return stored_difference(written(derive(_repeated_orders(spark, sf_dir)), "edges"), written(calls, "edges"))
+    calls = count_calls(counted_links(spans, kinds=(SHARED, PARENT)))
+    return stored_difference(written(derive_counted(_repeated_orders(spark, sf_dir)), "edges"), written(calls, "edges"))
 
 
 def _order_trees(spark, sf_dir):
@@ -531,7 +531,7 @@ def tree_edges_query(spark, sf_dir):
 
 
 def tree_dependencies(spark, sf_dir):
-    return derive(tree_spans(_order_trees(spark, sf_dir)))
+    return derive_counted(tree_spans(_order_trees(spark, sf_dir)))
 
 
 def run_day_query(spark, sf_dir):
@@ -586,8 +586,8 @@ QUERIES: dict[str, Query] = {
     "all_links": lambda spark, sf: _kind_links(_repeated_orders(spark, sf)),
     "all_links_conv": lambda spark, sf: _kind_links(spans_conv(spark, sf)),
     "all_links_events": lambda spark, sf: _kind_links(spans_events(spark, sf)),
-    "dependencies": lambda spark, sf: derive(spans_orders(spark, sf)),
-    "dependencies_other_tag": lambda spark, sf: derive(spans_orders(spark, sf), peer_tag="span.kind"),
+    "dependencies": lambda spark, sf: derive_counted(spans_orders(spark, sf)),
+    "dependencies_other_tag": lambda spark, sf: derive_counted(spans_orders(spark, sf), peer_tag="span.kind"),
     "stored_dependencies": stored_dependencies,
     "late_spans": late_spans,
     "day_document": day_document,

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.functions.tags import PEER_KEY
-from spanweave.operators.derive import all_links, count_calls
+from spanweave.operators.derive import count_calls
 from spanweave.operators.ordered import may_be_among
+from spanweave.operators.whole import counted_links, split_traces
 
 
 def touched(stored: DataFrame, late: DataFrame) -> DataFrame:
@@ -26,8 +27,10 @@ def edge_changes(stored: DataFrame, late: DataFrame, peer_tag: str = PEER_KEY) -
     Late spans may repeat stored ones.  Edges that stay as they are do not appear.
     """
     before = touched(stored, late)
-    gone = all_links(before, peer_tag).withColumn("weight", -F.col("weight"))
-    changes = count_calls(all_links(before.unionByName(late.select(*stored.columns)), peer_tag).unionAll(gone))
+    after = before.unionByName(late.select(*stored.columns))
+    split = split_traces(after)
+    gone = counted_links(before, peer_tag, split=split.of(before)).withColumn("weight", -F.col("weight"))
+    changes = count_calls(counted_links(after, peer_tag, split=split).unionAll(gone))
     return changes.filter("call_count <> 0")
 
 

@@ -30,18 +30,8 @@ def with_legacy_parent(spans: DataFrame) -> DataFrame:
     return spans.withColumn("refs", append_parent(F.col("refs"), F.col("parent_id"))).drop("parent_id")
 
 
-def narrow_spans(spans: DataFrame, peer_tag: str = PEER_KEY) -> DataFrame:
-    """Distinct spans, reduced to what link derivation reads.
-
-    Tags are most of a span's bytes, so they stay in the scan stage: what they say about links is
-    computed there, and a SHA-256 digest of the whole span stands in for them in the comparison.
-    Grouping on the digest and on columns that follow from it removes duplicates on the map side
-    first and spreads any number of spans of one trace or id over all tasks.
-
-    Trace and span ids are required; the readers see to that.
-
-    Columns: trace_id, span_id, start_time, service, refs, digest, client, server, sides, peer.
-    """
+def scan_spans(spans: DataFrame, peer_tag: str = PEER_KEY) -> DataFrame:
+    """Spans, with their copies, reduced to what link derivation reads; see `narrow_spans`.  A legacy parent id stays a column."""
     legacy = ["parent_id"] if "parent_id" in spans.columns else []
     filled = spans.filter(F.col("trace_id").isNotNull() & F.col("span_id").isNotNull()).select(
         "trace_id",
@@ -53,7 +43,7 @@ def narrow_spans(spans: DataFrame, peer_tag: str = PEER_KEY) -> DataFrame:
         *legacy,
     )
     tags = F.col("tags")
-    narrow = filled.select(
+    return filled.select(
         "trace_id",
         "span_id",
         "start_time",
@@ -68,8 +58,23 @@ def narrow_spans(spans: DataFrame, peer_tag: str = PEER_KEY) -> DataFrame:
         tag_value(tags, peer_tag).alias("peer"),
         *legacy,
     )
-    if legacy:
-        keys = [c for c in narrow.columns if c not in legacy]
+
+
+def narrow_spans(spans: DataFrame, peer_tag: str = PEER_KEY) -> DataFrame:
+    """Distinct spans, reduced to what link derivation reads.
+
+    Tags are most of a span's bytes, so they stay in the scan stage: what they say about links is
+    computed there, and a SHA-256 digest of the whole span stands in for them in the comparison.
+    Grouping on the digest and on columns that follow from it removes duplicates on the map side
+    first and spreads any number of spans of one trace or id over all tasks.
+
+    Trace and span ids are required; the readers see to that.
+
+    Columns: trace_id, span_id, start_time, service, refs, digest, client, server, sides, peer.
+    """
+    narrow = scan_spans(spans, peer_tag)
+    if "parent_id" in narrow.columns:
+        keys = [c for c in narrow.columns if c != "parent_id"]
         return with_legacy_parent(narrow.groupBy(*keys).agg(F.min("parent_id").alias("parent_id")))
     return narrow.distinct()
 
