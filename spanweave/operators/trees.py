@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from spanweave.functions.refs import no_refs
 from spanweave.functions.tags import no_tags
 
+#: Nodes that one task expands, on average.
+NODES_A_TASK = 100_000
+
 
 def trees(sizes: DataFrame, services: DataFrame, branching: int, chunk: int = 10_000) -> DataFrame:
     """Random trees of bounded branching, as rows: tree_id, node, parent_node, service.
@@ -15,17 +18,20 @@ def trees(sizes: DataFrame, services: DataFrame, branching: int, chunk: int = 10
 
     Nodes are numbered breadth-first, so that node i hangs below (i - 1) div branching.  The pick is a
     digest of tree and node: runs repeat, and nothing depends on how rows are spread.  Large trees
-    are cut into chunks of nodes before they are expanded.
+    are cut into chunks of nodes before they are expanded, and chunks dealt over a fixed number of
+    tasks, counted from all nodes: a task would else take as many small rows as one can read, and
+    hold all the nodes they expand to.
     """
     if branching < 1:
         raise ValueError("branching must be positive")
     positive = F.when(F.col("nodes") > 0, F.col("nodes")).otherwise(
         F.raise_error(F.lit("a tree must have nodes")).cast("bigint")
     )
+    total = sizes.agg(F.sum("nodes").cast("bigint").alias("nodes")).first().nodes or 0
     chunks = (
         sizes.select("tree_id", positive.cast("bigint").alias("nodes"))
         .select("tree_id", "nodes", F.expr(f"explode(sequence(0L, nodes - 1, {chunk}L))").alias("low"))
-        .repartition("tree_id", "low")
+        .repartition(max(1, total // NODES_A_TASK + 1), "tree_id", "low")
     )
     nodes = chunks.select(
         "tree_id",

@@ -7,11 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import frame, links
+from spanweave.operators import trees as trees_module
 from spanweave.operators import whole
 from spanweave.operators.derive import derive
 from spanweave.operators.groups import leaf_spans, shared_groups
 from spanweave.operators.increment import edge_changes
 from spanweave.operators.spans import narrow_spans, trace_groups
+from spanweave.operators.trees import trees
 from test_links_random import random_spans
 from walk import Span, walk
 
@@ -94,3 +96,14 @@ def test_partitions_grow_with_the_spans(spark, monkeypatch):
     monkeypatch.setattr(whole, "SPANS_A_TASK", 50)
     spans = random_spans(31, 200)
     assert whole.split_traces(frame(spark, spans)).parts == len(spans) // 50 + 1
+
+
+def test_a_task_expands_few_nodes(spark, monkeypatch):
+    """Small rows of chunks would all go to one task."""
+    monkeypatch.setattr(trees_module, "NODES_A_TASK", 100)
+    names = spark.sql("select 0 place, 'a' service union all select 1, 'b'")
+    nodes = trees(spark.range(400).selectExpr("id as tree_id", "25 as nodes"), names, 3)
+    assert nodes.count() == 10_000
+    assert max(r[1] for r in nodes.groupBy(F.spark_partition_id()).count().collect()) < 400
+
+
