@@ -14,6 +14,7 @@ from spanweave.operators.groups import leaf_spans, shared_groups
 from spanweave.operators.increment import edge_changes
 from spanweave.operators.spans import narrow_spans, trace_groups
 from spanweave.operators.trees import trees
+from spanweave.sinks import traces
 from test_links_random import random_spans
 from walk import Span, walk
 
@@ -98,6 +99,22 @@ def test_partitions_grow_with_the_spans(spark, monkeypatch):
     assert whole.split_traces(frame(spark, spans)).parts == len(spans) // 50 + 1
 
 
+def test_buckets_grow_with_the_spans(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(traces, "SPANS_A_BUCKET", 20)
+    store = traces.TraceStore(f"file://{tmp_path}/s", buckets=3)
+    for seed, number in ((37, 100), (41, 3)):
+        df = frame(spark, random_spans(seed, number))
+        traces.write_traces(df, store)
+        spark.sql(f"drop table {store.table}")  # what a new application finds
+        together, large = traces.read_traces(spark, store)
+        found = int(re.search(r"Num Buckets\s*\|\s*(\d+)", spark.sql(f"describe extended {store.table}")._show_string(200, False)).group(1))
+        least = 3
+        while least * 20 < df.count():
+            least *= 2
+        assert found == least
+        assert rows(whole.derive_stored(together, large)) == rows(derive(df))
+
+
 def test_a_task_expands_few_nodes(spark, monkeypatch):
     """Small rows of chunks would all go to one task."""
     monkeypatch.setattr(trees_module, "NODES_A_TASK", 100)
