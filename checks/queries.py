@@ -110,8 +110,8 @@ def to_docs(spans: DataFrame) -> DataFrame:
     )
 
 
-def stored_docs(spans: DataFrame, folder: str) -> str:
-    to_docs(spans).write.mode("overwrite").text(folder)
+def stored_docs(spans: DataFrame, folder: str, **options) -> str:
+    to_docs(spans).write.mode("overwrite").options(**options).text(folder)
     return folder
 
 
@@ -251,7 +251,9 @@ def sink_layout_query(spark, sf_dir):
 
 
 def _docs_of(spans: DataFrame) -> DataFrame:
-    return read_docs(spans.sparkSession, stored_docs(spans, f"{shared_folder(spans.sparkSession)}/docs"))
+    # Documents repeat their field names: as gzip they take a tenth.  One task reads a file, so files have a bounded size.
+    packed = {"compression": "gzip", "maxRecordsPerFile": 500_000}
+    return read_docs(spans.sparkSession, stored_docs(spans, f"{shared_folder(spans.sparkSession)}/docs", **packed))
 
 
 def decode_spans(spark, sf_dir):
