@@ -128,19 +128,29 @@ def _observed(observation: Observation, *names: str) -> dict[str, int]:
         return dict.fromkeys(names, 0)
 
 
+#: Shuffled spans and facts take some 20 to 70 bytes each: more of them than these hold are too many for the tables of one task.
+TASK_BYTES = 16 << 20
+
+
 @contextmanager
 def _whole_plans(spark: SparkSession) -> Iterator[None]:
-    """Stages found to be empty stay in the plan meanwhile: what was observed below them would be lost with them."""
-    key, rule = "spark.sql.adaptive.optimizer.excludedRules", "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, f"{before},{rule}" if before else rule)
+    """Stages found to be empty stay in the plan meanwhile: what was observed below them would be lost with them.
+
+    Partitions are put together up to TASK_BYTES only, so that what a task holds does not grow with the day.
+    """
+    rules, size = "spark.sql.adaptive.optimizer.excludedRules", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rule = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+    before = {key: spark.conf.get(key, None) for key in (rules, size)}
+    spark.conf.set(rules, f"{before[rules]},{rule}" if before[rules] else rule)
+    spark.conf.set(size, f"{TASK_BYTES}b")
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def _store_edges(spark: SparkSession, job: DayJob, day: dt.date, spans: DataFrame, counts: _Counts) -> DataFrame:

@@ -14,6 +14,7 @@ from spanweave.operators.groups import leaf_spans, shared_groups
 from spanweave.operators.increment import edge_changes
 from spanweave.operators.spans import narrow_spans, trace_groups
 from spanweave.operators.trees import trees
+from spanweave.plans import day
 from spanweave.sinks import traces
 from test_links_random import random_spans
 from walk import Span, walk
@@ -124,3 +125,10 @@ def test_a_task_expands_few_nodes(spark, monkeypatch):
     assert max(r[1] for r in nodes.groupBy(F.spark_partition_id()).count().collect()) < 400
 
 
+def test_a_day_puts_few_bytes_into_a_task(spark):
+    """The tables of a task held what 64 MiB of shuffled rows expand to."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    with day._whole_plans(spark):
+        assert int(spark.conf.get(key).rstrip("b")) == day.TASK_BYTES == 16 << 20
+    assert spark.conf.get(key) == before
