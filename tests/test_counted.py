@@ -6,7 +6,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from helpers import frame, links
+from spanweave.fixtures import spans_orders
 from spanweave.operators import trees as trees_module
 from spanweave.operators import whole
 from spanweave.operators.derive import derive
@@ -132,3 +134,10 @@ def test_a_day_puts_few_bytes_into_a_task(spark):
     with day._whole_plans(spark):
         assert int(spark.conf.get(key).rstrip("b")) == day.TASK_BYTES == 16 << 20
     assert spark.conf.get(key) == before
+
+
+def test_documents_are_packed(spark, sf):
+    """Plain documents took more than ten times the disk."""
+    docs = queries._docs_of(spans_orders(spark, sf))
+    assert docs.inputFiles() and all(f.endswith(".gz") for f in docs.inputFiles())
+    assert docs.count() == spans_orders(spark, sf).count()
