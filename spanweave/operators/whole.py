@@ -2,7 +2,7 @@
 other is exchanged once.
 
 The rules are those of `derive`, in another shape.  A span id meets what refers to it in a window over (trace, id), not
-in a join, and the order of a shared id is a window too.  Windows hold the spans of one id of one trace at once.  A store
+in a join, and the order of a shared id is that of the window that drops its copies.  Windows hold the spans of one id of one trace at once.  A store
 bounds them (`spanweave.sinks.traces`); for other spans `split_traces` counts first and leaves large traces to `derive`.
 """
 
@@ -23,77 +23,96 @@ MOST_SPANS = 100_000
 SPANS_A_TASK = 250_000
 LEAST_SPANS_A_TASK = 10_000
 
-# Ids begin with the same digits as often as not, so rows are sorted by a hash of the trace first.  All functions of a window
-# name the same order, also where it does not matter: they are computed in one pass then.
+# Ids begin with the same digits as often as not, so rows are sorted by a hash of the trace first.  Functions of a window share
+# its order and few frames: a group is a span or two, and each frame of it costs as much as a sort of its rows.
 _ALL = "rows between unbounded preceding and unbounded following"
-_SO_FAR = "rows between unbounded preceding and current row"
+_BEFORE = "rows between unbounded preceding and 1 preceding"
 _ID = "partition by mark, trace_id, id"
-_IN_ORDER = f"{_ID} order by start_time, service, substr(sides, 1, 1), sides, digest, step"
 
 
-def _grouped(scanned: DataFrame) -> DataFrame:
-    """Spans with what their group says, copies one after the other.  Spans of an id are equal if their digests are."""
-    legacy = "parent_id" in scanned.columns
+def _grouped(scanned: DataFrame, linked: bool = False) -> DataFrame:
+    """Spans, copies one after the other, and what their group says.  Spans of an id are equal if their digests are.
+
+    `link`, if asked for, is the shared link that a span completes, from what the spans before it claim.  A copy completes
+    none that the first one did not, and the link of the id is that of the least `nth`.
+    """
     # The smallest legacy parent id stays, as in `narrow_spans`.
-    by = f"partition by mark, trace_id, span_id order by digest{', parent_id nulls last' if legacy else ''}"
-    group = f"over ({by} {_ALL})"
-    grouped = scanned.withColumn("mark", F.xxhash64("trace_id")).selectExpr(
-        "*",
-        f"lag(digest) over ({by}) as digest_before",
+    legacy = ["parent_id nulls last"] if "parent_id" in scanned.columns else []
+    keys = ["start_time", "service", "sides", "digest"] if linked else ["digest"]
+    order = f"partition by mark, trace_id, span_id order by {', '.join(keys + legacy)}"
+    group, before = f"over ({order} {_ALL})", f"over ({order} {_BEFORE})"
+    columns = [
+        f"last(digest) {before} as digest_before",
         f"min(digest) {group} = max(digest) {group} as alone",
         f"min(case when server then struct(start_time, service) end) {group}.service as first_server",
-        f"bool_or(contains(sides, 'c')) {group} and bool_or(contains(sides, 's')) {group} as both_ends",
-        f"dense_rank() over ({by}) as n",
-        f"lead(true) over ({by}) is null as is_last",
-    )
+    ]
+    if linked:
+        columns += [
+            f"count(*) {before} as nth",
+            f"last(if(contains(sides, 'c'), struct(service as name), null), true) {before}.name as calling",
+            f"last(if(contains(sides, 's'), struct(service as name), null), true) {before}.name as called",
+        ]
+    grouped = scanned.withColumn("mark", F.xxhash64("trace_id")).selectExpr("*", *columns)
+    if linked:
+        grouped = grouped.selectExpr(
+            "* except (calling, called)",
+            """case when service is null then null
+                    when sides = 'c' then if(called is null, null, struct(service as parent, called as child))
+                    when sides = 's' then if(calling is null, null, struct(calling as parent, service as child))
+                    when sides = 'cs' then struct(service as parent, coalesce(called, service) as child)
+                    when sides = 'sc' then struct(coalesce(calling, service) as parent, service as child) end as link""",
+        )
     return with_legacy_parent(grouped) if legacy else grouped
 
 
-def _judged(scanned: DataFrame) -> DataFrame:
+def _firsts(grouped: DataFrame) -> DataFrame:
+    """Of copies the first."""
+    return grouped.filter("digest_before is null or digest_before <> digest")
+
+
+def _judged(scanned: DataFrame, linked: bool = False) -> DataFrame:
     """Distinct spans and their part in links."""
-    return _grouped(scanned).filter("digest_before is null or digest_before <> digest").selectExpr(
-        "mark", "trace_id", "span_id", "start_time", "service", "peer", "sides", "digest", "refs",
+    return _firsts(_grouped(scanned, linked)).selectExpr(
+        "mark", "trace_id", "span_id", "service", "peer", "refs",
         "if(alone, service, first_server) as answers",
         f"{MAY_BE_CALLED} and (alone or client) as open",
-        "size(refs) as n_refs",
-        "if(both_ends, length(sides), 0) as n_steps",
+        *(["link", "nth"] if linked else []),
     )
 
 
 def _links(scanned: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     """kind, parent, child of spans, with their copies, that lie together by trace."""
-    # A span about its own id, about each id it refers to, and its steps towards the shared link of its id.
-    about = "concat(array(span_id), refs, array_repeat(span_id, n_steps))"
-    if SHARED not in kinds:
-        about = "concat(array(span_id), refs)"
-    told = _judged(scanned).selectExpr("* except (span_id, refs)", f"posexplode({about}) as (at, id)").filter("id is not null")
+    judged = _judged(scanned, SHARED in kinds)
     if PARENT not in kinds and PEER not in kinds:
-        told = told.filter("at > n_refs")
-    told = told.selectExpr(
-        "*", "at = 0 as own", "at > 0 and at <= n_refs as refers", "at - n_refs as step",
-        "if(at > n_refs, substr(sides, at - n_refs, 1), '') as side",
+        first = judged.filter("link is not null").groupBy("mark", "trace_id", "span_id").agg(F.min_by("link", "nth").alias("link"))
+        return first.select(F.lit(SHARED).alias("kind"), "link.parent", "link.child")
+    # A span about its own id, about each id it refers to, and, with a link, about its id once more.
+    refs = "refs" if PEER in kinds else "if(open, refs, array())"
+    link, of_link = ", if(link is null, array(), array(span_id))", ["nth", "link.parent as linked_parent", "link.child as linked_child"]
+    if SHARED not in kinds:
+        link, of_link = "", ["null as linked_parent", "null as linked_child"]
+    told = judged.withColumn("told", F.expr(refs)).selectExpr("*", f"posexplode(concat(array(span_id), told{link})) as (at, id)")
+    told = told.filter("id is not null").selectExpr(
+        "mark", "trace_id", "id", "service", *of_link,
+        "if(at = 0, 'own', if(at <= size(told), 'refers', 'link')) as role",
+        "open and (at > 0 or peer is not null) as open",
+        "if(at = 0, answers, null) as answers",
+        "if(at = 0, peer, null) as peer",
     )
-    met = told.selectExpr(
-        "*",
-        f"max(if(own, answers, null)) over ({_IN_ORDER} {_ALL}) as answer",
-        f"bool_or(refers) over ({_IN_ORDER} {_ALL}) as referred",
-        f"last(if(side = 'c', struct(service as name), null), true) over ({_IN_ORDER} {_SO_FAR}).name as calling",
-        f"last(if(side = 's', struct(service as name), null), true) over ({_IN_ORDER} {_SO_FAR}).name as called",
-        f"row_number() over ({_IN_ORDER}) as nth",
-    )
+    about = [f"max(answers) over ({_ID}) as answer"]
     found = []
-    if SHARED in kinds:
-        linked = "side <> '' and calling is not null and called is not null"
-        met = met.selectExpr("*", f"{linked} and nth = min(if({linked}, nth, null)) over ({_ID}) as is_first")
-        found.append(f"when is_first then '{SHARED}'")
     if PARENT in kinds:
-        found.append(f"when refers and open and answer is not null then '{PARENT}'")
+        found.append(f"when role = 'refers' and open and answer is not null then '{PARENT}'")
     if PEER in kinds:
-        found.append(f"when own and open and peer is not null and not referred then '{PEER}'")
-    return met.selectExpr(
+        about.append(f"bool_or(role = 'refers') over ({_ID}) as referred")
+        found.append(f"when role = 'own' and open and not referred then '{PEER}'")
+    if SHARED in kinds:
+        about.append(f"min(if(role = 'link', nth, null)) over ({_ID}) as first_nth")
+        found.append(f"when role = 'link' and nth = first_nth then '{SHARED}'")
+    return told.selectExpr("*", *about).selectExpr(
         f"case {' '.join(found)} end as kind",
-        "case when side <> '' then calling when own then service else answer end as parent",
-        "case when side <> '' then called when own then peer else service end as child",
+        "case role when 'own' then service when 'refers' then answer else linked_parent end as parent",
+        "case role when 'own' then peer when 'refers' then service else linked_child end as child",
     ).filter("kind is not null")
 
 
@@ -173,9 +192,10 @@ def _dealt(split: TraceSplit, peer_tag: str = PEER_KEY) -> DataFrame:
 def counted_groups(spans: DataFrame) -> DataFrame:
     """As `shared_groups` of the narrowed spans, for spans that are cheap to read again."""
     split = split_traces(spans)
-    groups = _grouped(_dealt(split)).filter("is_last").selectExpr(
-        "trace_id", "span_id", "cast(n as bigint) as n", "if(alone, service, first_server) as parent_service"
-    )
+    groups = _firsts(_grouped(_dealt(split))).groupBy("mark", "trace_id", "span_id").agg(
+        F.count("*").alias("n"),
+        F.expr("if(count(*) = 1, min(service), min(case when server then struct(start_time, service) end).service)").alias("parent_service"),
+    ).drop("mark")
     return groups if split.large is None else groups.unionByName(shared_groups(narrow_spans(split.large)))
 
 

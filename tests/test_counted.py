@@ -86,6 +86,23 @@ def test_one_exchange_by_trace(spark, monkeypatch):
     assert len(keys) == 2 and sum(k.startswith("trace_id") for k in keys) == 1
 
 
+def test_windows_are_few_and_short(spark):
+    """The order of a shared id was found in a second window over all facts about ids, on top of that which matches them."""
+    df = frame(spark, random_spans(3, 100))
+    for kinds, most in ((("shared", "parent", "peer"), 2), (("shared",), 1)):
+        plan = whole.counted_links(df, kinds=kinds)._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"^[\s:+-]*Window \[", plan, re.M)) == most
+    shared = whole.counted_links(df, kinds=("shared",))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in shared
+
+
+def test_groups_with_legacy_parents(spark):
+    """Copies that differ in the legacy parent id alone were counted as two spans."""
+    df = frame(spark, random_spans(43, 200)).withColumn("parent_id", F.lit(None).cast("bigint"))
+    df = df.unionAll(df.withColumn("parent_id", F.lit(1).cast("bigint")))
+    assert rows(whole.counted_groups(df)) == rows(shared_groups(narrow_spans(df)))
+
+
 def test_a_large_trace_lies_apart(spark, monkeypatch):
     monkeypatch.setattr(whole, "MOST_SPANS", 1000)
     spans = random_spans(29, 100) + [Span("hot", i % 7, i, "s", (("span.kind", "string", "client"),), (1,)) for i in range(3000)]
