@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.fixtures import (
+    ids_orders,
     repeated,
     spans_conv,
     spans_events,
@@ -115,9 +116,9 @@ def stored_docs(spans: DataFrame, folder: str, **options) -> str:
     return folder
 
 
-def _kind_links(spans: DataFrame, kinds=KINDS) -> DataFrame:
+def _kind_links(spans: DataFrame, kinds=KINDS, ids: DataFrame | None = None) -> DataFrame:
     return (
-        counted_links(spans, kinds=kinds)
+        counted_links(spans, kinds=kinds, ids=ids)
         .groupBy("kind", "parent", "child")
         .agg(F.sum("weight").alias("links"))
     )
@@ -348,7 +349,7 @@ def legacy_parent(spark, sf_dir):
 
 
 def legacy_dependencies(spark, sf_dir):
-    return derive_counted(_with_parents(spark, sf_dir))
+    return derive_counted(_with_parents(spark, sf_dir), ids=ids_orders(spark, sf_dir))
 
 
 def norm_trace_id(spark, sf_dir):
@@ -406,6 +407,10 @@ def _repeated_orders(spark, sf_dir):
     return repeated(spans_orders(spark, sf_dir))
 
 
+def _repeated_ids(spark, sf_dir):
+    return repeated(ids_orders(spark, sf_dir))
+
+
 def _tied_orders(spark, sf_dir):
     """Few ids, years for start times and short names: many spans of an id tie."""
     return spans_orders(spark, sf_dir).selectExpr(
@@ -415,7 +420,7 @@ def _tied_orders(spark, sf_dir):
 
 
 def trace_groups_query(spark, sf_dir):
-    return counted_traces(_repeated_orders(spark, sf_dir))
+    return counted_traces(_repeated_orders(spark, sf_dir), ids=_repeated_ids(spark, sf_dir))
 
 
 def dedup_spans_query(spark, sf_dir):
@@ -423,7 +428,7 @@ def dedup_spans_query(spark, sf_dir):
 
 
 def shared_groups_query(spark, sf_dir):
-    return counted_groups(_repeated_orders(spark, sf_dir))
+    return counted_groups(_repeated_orders(spark, sf_dir), ids=_repeated_ids(spark, sf_dir))
 
 
 def _show_eligible(spans: DataFrame) -> DataFrame:
@@ -437,7 +442,7 @@ def eligible_spans_query(spark, sf_dir):
 
 
 def leaf_spans_query(spark, sf_dir):
-    return _show_eligible(counted_leaves(_repeated_orders(spark, sf_dir)))
+    return _show_eligible(counted_leaves(_repeated_orders(spark, sf_dir), ids=_repeated_ids(spark, sf_dir)))
 
 
 def stored_dependencies(spark, sf_dir):
@@ -490,14 +495,14 @@ def sink_v1(spark, sf_dir):
 
 
 def adjacency_map_query(spark, sf_dir):
-    maps = adjacency_map(derive_counted(spans_orders(spark, sf_dir)))
+    maps = adjacency_map(derive_counted(spans_orders(spark, sf_dir), ids=ids_orders(spark, sf_dir)))
     return maps.select("parent", F.explode("children").alias("child", "call_count"))
 
 
 def read_document(spark, sf_dir):
     link = F.struct("parent", "child", F.col("call_count").alias("callCount"), F.lit(1).alias("extra"))
     answers = (
-        derive_counted(spans_orders(spark, sf_dir))
+        derive_counted(spans_orders(spark, sf_dir), ids=ids_orders(spark, sf_dir))
         .groupBy("parent")
         .agg(F.collect_list(link).alias("data"))
         .select(F.to_json(F.struct("data", F.lit(0).alias("total"), F.lit(None).alias("errors"))).alias("value"))
@@ -581,15 +586,15 @@ QUERIES: dict[str, Query] = {
     "shared_groups": shared_groups_query,
     "eligible_spans": eligible_spans_query,
     "leaf_spans": leaf_spans_query,
-    "shared_links": lambda spark, sf: _kind_links(spans_orders(spark, sf), (SHARED,)),
-    "shared_ties": lambda spark, sf: _kind_links(_tied_orders(spark, sf), (SHARED,)),
-    "parent_links": lambda spark, sf: _kind_links(spans_orders(spark, sf), (PARENT,)),
-    "peer_links": lambda spark, sf: _kind_links(spans_orders(spark, sf), (PEER,)),
-    "all_links": lambda spark, sf: _kind_links(_repeated_orders(spark, sf)),
+    "shared_links": lambda spark, sf: _kind_links(spans_orders(spark, sf), (SHARED,), ids_orders(spark, sf)),
+    "shared_ties": lambda spark, sf: _kind_links(_tied_orders(spark, sf), (SHARED,), ids_orders(spark, sf)),
+    "parent_links": lambda spark, sf: _kind_links(spans_orders(spark, sf), (PARENT,), ids_orders(spark, sf)),
+    "peer_links": lambda spark, sf: _kind_links(spans_orders(spark, sf), (PEER,), ids_orders(spark, sf)),
+    "all_links": lambda spark, sf: _kind_links(_repeated_orders(spark, sf), ids=_repeated_ids(spark, sf)),
     "all_links_conv": lambda spark, sf: _kind_links(spans_conv(spark, sf)),
     "all_links_events": lambda spark, sf: _kind_links(spans_events(spark, sf)),
-    "dependencies": lambda spark, sf: derive_counted(spans_orders(spark, sf)),
-    "dependencies_other_tag": lambda spark, sf: derive_counted(spans_orders(spark, sf), peer_tag="span.kind"),
+    "dependencies": lambda spark, sf: derive_counted(spans_orders(spark, sf), ids=ids_orders(spark, sf)),
+    "dependencies_other_tag": lambda spark, sf: derive_counted(spans_orders(spark, sf), peer_tag="span.kind", ids=ids_orders(spark, sf)),
     "stored_dependencies": stored_dependencies,
     "late_spans": late_spans,
     "day_document": day_document,

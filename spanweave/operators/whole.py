@@ -157,14 +157,17 @@ def _split(spans: DataFrame, crowded: tuple[int, ...], parts: int) -> TraceSplit
     return TraceSplit(spans.filter(~large), spans.filter(large), parts, crowded)
 
 
-def split_traces(spans: DataFrame, most: int | None = None) -> TraceSplit:
+def split_traces(spans: DataFrame, most: int | None = None, ids: DataFrame | None = None) -> TraceSplit:
     """Counts the spans per place, in a pass of its own that exchanges PLACES counts, and splits them.
 
     A place with more than `most` spans above four times the mean counts as large, with all traces in it, so none of the
     other traces has more.
+
+    `ids` are counted in place of the spans, where the spans themselves take joins to find: rows with a trace_id, at least as
+    often as the spans have it.  They decide how the work is dealt, not what it finds.
     """
     most = MOST_SPANS if most is None else most
-    counts = spans.filter("trace_id is not null").groupBy(_place().alias("place")).agg(F.count("*").alias("spans")).collect()
+    counts = (spans if ids is None else ids).filter("trace_id is not null").groupBy(_place().alias("place")).agg(F.count("*").alias("spans")).collect()
     total = sum(c.spans for c in counts)
     crowded = tuple(c.place for c in counts if c.spans > most + 4 * total // PLACES)
     least = min(spans.sparkSession.sparkContext.defaultParallelism, total // LEAST_SPANS_A_TASK + 1)
@@ -172,26 +175,30 @@ def split_traces(spans: DataFrame, most: int | None = None) -> TraceSplit:
 
 
 def counted_links(
-    spans: DataFrame, peer_tag: str = PEER_KEY, kinds: tuple[str, ...] = KINDS, split: TraceSplit | None = None
+    spans: DataFrame,
+    peer_tag: str = PEER_KEY,
+    kinds: tuple[str, ...] = KINDS,
+    split: TraceSplit | None = None,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """As `all_links`, for spans that are cheap to read again: counted first, then exchanged once, large traces apart."""
-    split = split or split_traces(spans)
+    split = split or split_traces(spans, ids=ids)
     links = whole_trace_links(split.whole, peer_tag, kinds, split.parts)
     return links if split.large is None else links.unionAll(all_links(split.large, peer_tag, kinds))
 
 
-def derive_counted(spans: DataFrame, peer_tag: str = PEER_KEY) -> DataFrame:
-    """As `derive`, for spans that are cheap to read again."""
-    return count_calls(counted_links(spans, peer_tag))
+def derive_counted(spans: DataFrame, peer_tag: str = PEER_KEY, ids: DataFrame | None = None) -> DataFrame:
+    """As `derive`, for spans that are cheap to read again, or whose `ids` are; see `split_traces`."""
+    return count_calls(counted_links(spans, peer_tag, ids=ids))
 
 
 def _dealt(split: TraceSplit, peer_tag: str = PEER_KEY) -> DataFrame:
     return scan_spans(split.whole, peer_tag).repartition(split.parts, "trace_id")
 
 
-def counted_groups(spans: DataFrame) -> DataFrame:
+def counted_groups(spans: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """As `shared_groups` of the narrowed spans, for spans that are cheap to read again."""
-    split = split_traces(spans)
+    split = split_traces(spans, ids=ids)
     groups = _firsts(_grouped(_dealt(split))).groupBy("mark", "trace_id", "span_id").agg(
         F.count("*").alias("n"),
         F.expr("if(count(*) = 1, min(service), min(case when server then struct(start_time, service) end).service)").alias("parent_service"),
@@ -199,9 +206,9 @@ def counted_groups(spans: DataFrame) -> DataFrame:
     return groups if split.large is None else groups.unionByName(shared_groups(narrow_spans(split.large)))
 
 
-def counted_leaves(spans: DataFrame, peer_tag: str = PEER_KEY) -> DataFrame:
+def counted_leaves(spans: DataFrame, peer_tag: str = PEER_KEY, ids: DataFrame | None = None) -> DataFrame:
     """As `leaf_spans` of the narrowed spans, for spans that are cheap to read again."""
-    split = split_traces(spans)
+    split = split_traces(spans, ids=ids)
     about = _judged(_dealt(split, peer_tag)).selectExpr(
         "mark", "trace_id", "service", "if(open, refs, null) as refs", "peer", "posexplode(concat(array(span_id), refs)) as (at, id)"
     )
@@ -210,9 +217,9 @@ def counted_leaves(spans: DataFrame, peer_tag: str = PEER_KEY) -> DataFrame:
     return leaves if split.large is None else leaves.unionByName(leaf_spans(narrow_spans(split.large, peer_tag)))
 
 
-def counted_traces(spans: DataFrame) -> DataFrame:
+def counted_traces(spans: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """As `trace_groups`, for spans that are cheap to read again.  A digest stands in for the tags and references."""
-    split = split_traces(spans)
+    split = split_traces(spans, ids=ids)
     whole = split.whole.filter("trace_id is not null").selectExpr(
         "trace_id", "span_id", "service", "start_time", "unhex(sha2(to_json(struct(start_time, service, tags, refs)), 256)) as digest"
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from helpers import frame, links
-from spanweave.fixtures import spans_orders
+from spanweave.fixtures import ids_orders, repeated, spans_orders
 from spanweave.operators import trees as trees_module
 from spanweave.operators import whole
 from spanweave.operators.derive import derive
@@ -103,6 +103,23 @@ def test_groups_with_legacy_parents(spark):
     assert rows(whole.counted_groups(df)) == rows(shared_groups(narrow_spans(df)))
 
 
+def test_copies_in_one_pass(spark, sf):
+    """The copies were found in a second pass over the joins that make the spans."""
+    spans = spans_orders(spark, sf)
+    plan = repeated(spans)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == spans._jdf.queryExecution().optimizedPlan().toString().count("Join")
+    assert rows(repeated(spans)) == rows(spans.unionAll(spans.filter("span_id % 3 = 0")))
+
+
+def test_ids_are_counted_in_place_of_spans(spark, sf):
+    """Counting the spans took their joins a second time."""
+    ids = ids_orders(spark, sf)
+    assert "Join" not in ids._jdf.queryExecution().optimizedPlan().toString()
+    spans = spans_orders(spark, sf)
+    assert rows(ids) == rows(spans.select("trace_id", "span_id"))
+    assert whole.split_traces(spans, ids=ids.unionAll(ids)).parts == whole.split_traces(spans.unionAll(spans)).parts
+
+
 def test_a_large_trace_lies_apart(spark, monkeypatch):
     monkeypatch.setattr(whole, "MOST_SPANS", 1000)
     spans = random_spans(29, 100) + [Span("hot", i % 7, i, "s", (("span.kind", "string", "client"),), (1,)) for i in range(3000)]
