@@ -33,7 +33,7 @@ from spanweave.operators.results import (
     read_result,
     tree_edges,
 )
-from spanweave.operators.spans import dedup_spans, narrow_spans
+from spanweave.operators.spans import dedup_spans, narrow_spans, scan_spans
 from spanweave.operators.whole import counted_groups, counted_leaves, counted_links, counted_traces, derive_counted, derive_stored
 from spanweave.operators.trees import tree_spans, trees
 from spanweave.plans.day import DayJob, ScanOptions, run_day
@@ -511,9 +511,9 @@ def read_document(spark, sf_dir):
 
 
 def assert_equal_query(spark, sf_dir):
-    spans = spans_orders(spark, sf_dir)
+    spans = written(scan_spans(spans_orders(spark, sf_dir)), "spans")
     calls = count_calls(counted_links(spans, kinds=(SHARED, PARENT)))
-    return stored_difference(written(derive_counted(_repeated_orders(spark, sf_dir)), "edges"), written(calls, "edges"))
+    return stored_difference(written(derive_counted(repeated(spans)), "edges"), written(calls, "edges"))
 
 
 def _order_trees(spark, sf_dir):

@@ -31,7 +31,12 @@ def with_legacy_parent(spans: DataFrame) -> DataFrame:
 
 
 def scan_spans(spans: DataFrame, peer_tag: str = PEER_KEY) -> DataFrame:
-    """Spans, with their copies, reduced to what link derivation reads; see `narrow_spans`.  A legacy parent id stays a column."""
+    """Spans, with their copies, reduced to what link derivation reads; see `narrow_spans`.  A legacy parent id stays a column.
+
+    Spans that are scanned already, and were stored as such, stay as they are: they name the peer of their own scan.
+    """
+    if "digest" in spans.columns:
+        return spans
     legacy = ["parent_id"] if "parent_id" in spans.columns else []
     filled = spans.filter(F.col("trace_id").isNotNull() & F.col("span_id").isNotNull()).select(
         "trace_id",

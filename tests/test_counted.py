@@ -14,9 +14,10 @@ from spanweave.operators import whole
 from spanweave.operators.derive import derive
 from spanweave.operators.groups import leaf_spans, shared_groups
 from spanweave.operators.increment import edge_changes
-from spanweave.operators.spans import narrow_spans, trace_groups
+from spanweave.operators.spans import narrow_spans, scan_spans, trace_groups
 from spanweave.operators.trees import trees
 from spanweave.plans import day
+from spanweave.shared import written
 from spanweave.sinks import traces
 from test_links_random import random_spans
 from walk import Span, walk
@@ -120,6 +121,16 @@ def test_ids_are_counted_in_place_of_spans(spark, sf):
     assert whole.split_traces(spans, ids=ids.unionAll(ids)).parts == whole.split_traces(spans.unionAll(spans)).parts
 
 
+@pytest.mark.parametrize("most", [100_000, 3])
+def test_scanned_spans_are_stored_once(spark, monkeypatch, most):
+    """Each derivation of the same spans made and scanned them anew."""
+    monkeypatch.setattr(whole, "MOST_SPANS", most)
+    df = frame(spark, random_spans(47, 300))
+    scanned = written(scan_spans(df), "spans")
+    assert counted(repeated(scanned)) == counted(df)
+    assert rows(derive(scanned)) == rows(derive(df))
+
+
 def test_a_large_trace_lies_apart(spark, monkeypatch):
     monkeypatch.setattr(whole, "MOST_SPANS", 1000)
     spans = random_spans(29, 100) + [Span("hot", i % 7, i, "s", (("span.kind", "string", "client"),), (1,)) for i in range(3000)]
