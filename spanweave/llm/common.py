@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +40,8 @@ def word_count(text: str | Column) -> Column:
 def bits60(key: Column) -> Column:
     """A hash in 0..2^60-1 that other engines can compute: the first 15 digits of the MD5."""
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... of sizes[0] numbers, then those of starts[1], and so on."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())

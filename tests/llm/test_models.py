@@ -180,3 +180,52 @@ def test_token_files_of_odd_rows(spark, tmp_path):
     found = sorted((r.start, r.doc_id, r.n_tokens) for r in token_files.query(spark, docs, tokenizer).collect())
     assert [f[1] for f in found] == [None, 1, 2, 2] and found[-1][0] + found[-1][2] == sum(f[2] for f in found)
     assert token_files.query(spark, docs.limit(0), tokenizer).count() == 0
+
+
+class Counted:
+    """A merge model that counts its calls."""
+
+    def __init__(self, model):
+        self.model, self.calls = model, 0
+
+    def tokenize(self, text):
+        self.calls += 1
+        return self.model.tokenize(text)
+
+
+@pytest.mark.parametrize("remembered", [300_000, 500])
+def test_the_merge_model_gets_many_words_at_once(monkeypatch, remembered):
+    monkeypatch.setattr(token_files, "REMEMBERED", remembered)
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as file:
+        tokenizer = file.read()
+    library, words = tokenizers.Tokenizer.from_str(tokenizer), token_files.Words(tokenizer)
+    words.model = counted = Counted(words.model)
+    rng = np.random.default_rng(1)
+    made = ["".join(rng.choice(list("aeioutnrsléßÀğ"), rng.integers(1, 9))) + rng.choice(["", "", ",", ".\n", "'s", "###", "日"]) for _ in range(6000)]
+    spaces = ["x\u2003 y z", "x \u2003y z", "a \x1cb", "a \x85", "a\xa0 b \xa0c", "a b ", " a", "", "a <|endoftext|> b"]
+    texts = [" ".join(made[at : at + 40]) for at in range(0, len(made), 40)] + spaces
+    for low in (0, 40, 80, 120):
+        some = texts[low : low + 40]
+        ids, n = words.encode(pa.array(some), 0)
+        assert np.split(ids, np.cumsum(n)[:-1])[0].dtype == np.uint32
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [[*library.encode(t, add_special_tokens=False).ids, 0] for t in some]
+    assert counted.calls <= 4 * (1 + 1600 // token_files.JOINED)
+
+
+def test_packed_ids_of_any_size():
+    ids, n = np.array([1, 2, 70_000, 0, 65_535, 0], np.uint32), np.array([2, 2, 2])
+    for own, sizes in ((ids, n), (ids[4:], n[:1]), (ids[:2], np.array([1, 1]))):
+        rows = token_files._packed(own, sizes).to_pylist()
+        assert [token_files._unpack(x, k).tolist() for x, k in zip(rows, sizes)] == [x.tolist() for x in np.split(own, np.cumsum(sizes)[:-1])]
+    assert len(token_files._packed(ids[4:], n[:1])[0].as_py()) == 4
+
+
+def test_ids_are_counted_in_batches_of_many_texts(monkeypatch):
+    calls = []
+    count = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *args, **kinds: calls.append(1) or count(*args, **kinds))
+    packed = [np.array([i % 7, 50_000 - i], "<u2").tobytes() for i in range(1000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([2] * 500), pa.array(packed[low : low + 500])], ["n", "ids"]) for low in (0, 500)]
+    (found,) = token_files._count(iter(batches))
+    assert sum(found["n"].to_pylist()) == 2000 and found["symbol"].to_pylist() == [*range(7), *range(49_001, 50_001)]
+    assert len(calls) == 1
