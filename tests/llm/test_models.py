@@ -51,6 +51,28 @@ def test_any_text(memory, some):
     assert sentencepieces.decode_ids(found, memory).to_pylist() == [t.replace("▁", " ") for t in some]
 
 
+def test_letters_are_searched_once_whatever_follows_them(model):
+    memory, given_ = sentencepieces.Memory(model), []
+    lanes = memory.lanes.encode
+    memory.lanes.encode = lambda some: given_.extend(some) or lanes(some)
+    signs = [",", ".", "###", ";\nAnd", "1999", "'s", "!?", ""]
+    texts = [" ".join(f"erenesnd{s} tentionß{s}" for s in signs)] * 2 + ["erenesnd tentionß"]
+    assert sentencepieces.encode_texts(pa.array(texts), memory).to_pylist() == [memory.pieces.encode(t) for t in texts]
+    assert sorted(given_) == sorted({"▁erenesnd", "▁tentionß", *signs[:-1]})
+
+
+@pytest.mark.parametrize("changed", [{"cuts_letters": False}, {"cuts": False}, {"prefix": False}, {}])
+def test_cuts_change_no_ids(model, texts, monkeypatch, changed):
+    monkeypatch.setattr(sentencepieces, "REMEMBERED", 300)
+    monkeypatch.setattr(sentencepieces, "CHUNK", 5000)
+    memory = sentencepieces.Memory(model)
+    vars(memory.pieces).update(changed)
+    some = [*texts, *ODD, None, "×a÷b ×, ǅa ɐ, ă. 日,a", "Ȁ×, x÷", "a  b", " a", "▁"]
+    found = sentencepieces.encode_texts(pa.array(some), memory).to_pylist()
+    assert found == [memory.pieces.encode(t or "") for t in some]
+    assert len(memory.remembered.known) < 5000 and not any(len(s) >= sentencepieces.LONGEST_REMEMBERED for s in memory.remembered.known)
+
+
 def test_nothing_is_held_back_behind_a_meeting_place(memory):
     # Blocks come one by one; after each all but a window's worth has been committed.
     pieces, given_, got = memory.pieces, 0, 0
