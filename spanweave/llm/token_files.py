@@ -14,8 +14,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import filterfalse
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanweave.llm import ans
-from spanweave.llm.common import in_small_batches, ranges, whole
+from spanweave.llm.common import LETTER_BYTES, Remembered, chunks, cut_letters, in_small_batches, ranges, whole
 from spanweave.shared import new_folder, written
 
 END = 0
 BLOCK = 1 << 20
-REMEMBERED = 300_000  # words a task remembers, and as many from before
+REMEMBERED = 300_000  # words' letters a task remembers, and as many from before; the same of what follows letters
 CHUNK = 1 << 22  # bytes taken at once
 BATCH = 2048  # words the tokenizer is given at once
 JOINED = 512  # words whose letters the merge model is given in one string
@@ -62,8 +60,6 @@ class Words:
     runs over the start of a word, and what is merged inside one depends on nothing outside.
     """
 
-    word = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+(?=[\x00-@\\[-`{-\x7f]))?([^ ]*) ")
-
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
@@ -76,12 +72,11 @@ class Words:
         vocabulary = self.tokenizer.get_vocab()
         self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # tokens that start with a space
         self.begins[[i for token, i in vocabulary.items() if token.startswith(self.space)]] = True
-        octets = (*range(65, 91), *range(97, 123), *range(0x80, 0xC0), *range(0xC3, 0xCA))  # of letters as in word
-        over = re.compile(f"(?:^|{self.space})[{''.join([self.alphabet[b] for b in octets])}]+{self.space}")
+        letters = "".join([self.alphabet[b] for b in LETTER_BYTES])
+        over = re.compile(f"(?:^|{self.space})[{letters}]+{self.space}")
         self.joined = 1 if any(map(over.search, vocabulary)) else JOINED
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.rests: dict[str, bytes] = {}
+        self.cores = Remembered(self.letters, REMEMBERED)
+        self.rests = Remembered(self.plain, REMEMBERED)
 
     def plain(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -91,7 +86,10 @@ class Words:
         return out
 
     def letters(self, words: list[str]) -> list[bytes]:
-        """Ids of a space and a word of letters."""
+        """Ids of a space and a word of letters; no letters, no ids."""
+        if "" in words:
+            at = words.index("")
+            return [*self.letters(words[:at]), b"", *self.letters(words[at + 1 :])]
         alphabet, out = self.alphabet, []
         mapped = [w if w.isascii() else "".join([alphabet[b] for b in w.encode()]) for w in words]
         for at in range(0, len(words), self.joined):
@@ -102,28 +100,6 @@ class Words:
             out += [octets[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return out
 
-    def recall(self, words: set[str]) -> list[str]:
-        """Those of words that were not known before, either."""
-        again = list(filter(self.older.__contains__, words))
-        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
-        words.difference_update(again)
-        return list(words)
-
-    def learn(self, words: set[str]) -> None:
-        """Makes words known; so are the letters that they begin with, which are words themselves."""
-        known, fresh = self.known, self.recall(words)
-        cut = self.word.findall(" ".join(fresh) + " ") if fresh else []
-        cores = self.recall(set(filterfalse(known.__contains__, map(itemgetter(0), cut))) - {""})
-        known.update(zip(cores, self.letters(cores), strict=True))
-        more = [(w, core, rest if core else " " + rest) for w, (core, rest) in zip(fresh, cut, strict=True) if rest]
-        rests = {rest for _, _, rest in more}
-        new = list(rests.difference(self.rests))
-        if len(self.rests) + len(new) > REMEMBERED:
-            self.rests, new = {}, list(rests)
-        self.rests.update(zip(new, self.plain(new), strict=True))
-        found = self.rests
-        known.update([(w, known[core] + found[rest] if core else found[rest]) for w, core, rest in more])
-
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with end behind, and how many a text has."""
         own = texts.to_pylist()
@@ -134,23 +110,30 @@ class Words:
         behind = np.ones(len(values), bool)  # a space, that is, not the first of their text
         behind[np.cumsum(sizes) - sizes] = False
         coded = values.filter(pa.array(behind)).dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # ten times as fast as to_pylist()
-        new = set(filterfalse(self.known.__contains__, words))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.older, self.known, new = self.known, {}, set(words)
-        self.learn(new)
+        parts, halves = [b""], []
+        if len(coded.dictionary):
+            cores, rests, bare = cut_letters(coded.dictionary)
+            rests = pc.binary_join_element_wise(pc.if_else(bare, " ", ""), rests, "")
+            for half, remembered in ((cores, self.cores), (rests, self.rests)):
+                half = half.dictionary_encode()
+                strings = half.dictionary.to_numpy(zero_copy_only=False).tolist()  # ten times as fast as to_pylist()
+                halves.append(half.indices.to_numpy()[coded.indices.to_numpy()] + len(parts))
+                parts += remembered(strings)
         firsts = self.plain([t if o else t.partition(" ")[0] for t, o in zip(own, odd.to_pylist(), strict=True)])
-        parts = [*map(self.known.__getitem__, words), *firsts, np.array([end], "<u4").tobytes()]
-        ids, lengths = np.frombuffer(b"".join(parts), "<u4"), np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
-        # Which of the parts follow each other: of every text its first word, its other words, the end.
-        order = np.full(len(values) + len(own), len(parts) - 1)
+        # Which of the parts follow each other: a text's first word and nothing, both halves of its other words, the end.
+        order = np.zeros((len(values) + len(own), 2), np.int64)
         last = np.cumsum(sizes + 1) - 1
-        order[last - sizes] = len(words) + np.arange(len(own))
+        order[last - sizes, 0] = len(parts) + np.arange(len(own))
+        order[last, 0] = len(parts) + len(own)
         rest = np.ones(len(order), bool)
         rest[last] = rest[last - sizes] = False
-        order[rest] = coded.indices.to_numpy()
-        n = lengths[order]
-        return ids[ranges((np.cumsum(lengths) - lengths)[order], n)], np.add.reduceat(n, last - sizes)
+        if halves:
+            order[rest] = np.stack(halves, 1)
+        parts += [*firsts, np.array([end], "<u4").tobytes()]
+        ids, lengths = np.frombuffer(b"".join(parts), "<u4"), np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
+        n = lengths[order.ravel()]
+        found = ids[ranges((np.cumsum(lengths) - lengths)[order.ravel()], n)]
+        return found, np.add.reduceat(n, 2 * (last - sizes))
 
 
 _loaded: dict[str, Words] = {}
@@ -163,14 +146,6 @@ def _words(tokenizer: str) -> Words:
     return _loaded[tokenizer]
 
 
-def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
-    chunk = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // CHUNK
-    cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(texts)]
-    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-        if high > low:
-            yield texts.slice(low, high - low)
-
-
 def _packed(ids: np.ndarray, n: np.ndarray) -> pa.Array:
     """The ids of every text as 16-bit numbers, if all of its ids are such, or 32-bit ones."""
     ends = np.cumsum(n)
@@ -192,7 +167,7 @@ def tokenise(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
         words, part, place = _words(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
-            for texts in _chunks(batch.column(1)):
+            for texts in chunks(batch.column(1), CHUNK):
                 ids, n = words.encode(texts, END)
                 size = len(n)
                 yield pa.RecordBatch.from_arrays(

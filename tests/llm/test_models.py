@@ -251,3 +251,15 @@ def test_ids_are_counted_in_batches_of_many_texts(monkeypatch):
     (found,) = token_files._count(iter(batches))
     assert sum(found["n"].to_pylist()) == 2000 and found["symbol"].to_pylist() == [*range(7), *range(49_001, 50_001)]
     assert len(calls) == 1
+
+
+def test_letters_go_to_the_merge_model_once_whatever_follows_them():
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as file:
+        words = token_files.Words(file.read())
+    given_, letters = [], words.cores.find
+    words.cores.find = lambda some: given_.extend(some) or letters(some)
+    texts = ["x erenesnd erenesnd, erenesnd.\nAnd", "x erenesnd### tentionß!", "x tentionß ×a ɐ日 1a"]
+    for text in texts:
+        ids, _ = words.encode(pa.array([text]), 0)
+        assert ids.tolist() == [*words.tokenizer.encode(text, add_special_tokens=False).ids, 0]
+    assert sorted(g for g in given_ if g) == ["erenesnd", "tentionß"]
