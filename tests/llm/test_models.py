@@ -1,5 +1,6 @@
 """SentencePiece, Katz scores and token files against plain Python and the tokenizers themselves."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -61,6 +62,32 @@ def test_letters_are_searched_once_whatever_follows_them(model):
     assert sorted(given_) == sorted({"▁erenesnd", "▁tentionß", *signs[:-1]})
 
 
+def test_every_text_is_searched_once(spark, model, texts):
+    memory, given_ = sentencepieces.Memory(model), []
+    encode = memory.encode
+    memory.encode = lambda some: given_.extend(some.to_pylist()) or encode(some)
+    some = [*texts, "", "x" * sentencepieces.CHUNK, "a▁b", "word " * 200_000, "c"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(some))), pa.array(some)], ["id", "text"])
+    found = list(sentencepieces.check_batches([batch, batch.slice(0, 0), batch.slice(2)], memory))
+    assert given_ == some + some[2:] and len(found) > 4
+    rows = [r for b in found for r in b.to_pylist()]
+    assert [r["id"] for r in rows] == [*range(len(some)), *range(2, len(some))] and all(r["round_trip"] for r in rows)
+    assert [r["ids"] for r in rows[: len(some)]] == [memory.pieces.encode(t) for t in some]
+    plan = sentencepieces.encode_and_check(spark.createDataFrame([(1, "a")], "doc_id long, text string"), model)._jdf.queryExecution().executedPlan().toString()
+    assert "ids_of" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_a_large_batch_takes_little_memory(model):
+    memory = sentencepieces.Memory(model)
+    batch = pa.array([" ".join(f"{i:x}er{i * j % 977}" for i in range(2000)) for j in range(150)])  # 2.6 MB of ever new words
+    tracemalloc.start()
+    ids = sentencepieces.encode_texts(batch, memory)
+    sentencepieces.decode_ids(ids, memory)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+
+
 @pytest.mark.parametrize("changed", [{"cuts_letters": False}, {"cuts": False}, {"prefix": False}, {}])
 def test_cuts_change_no_ids(model, texts, monkeypatch, changed):
     monkeypatch.setattr(sentencepieces, "REMEMBERED", 300)
